@@ -21,8 +21,9 @@ from .common import text_of
 #: Pattern, the group whose length counts, the least length.
 NAMED = {
     "assign": (r"""(?i:(?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+""", r"""^(?i:(?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?""", 6),
-    "access": (r"AKIA[A-Z0-9]+", None, 20),
-    "hex": (r"[0-9a-f]+", None, 24),
+    # The least lengths stand in the patterns: a run that is too short has no later start that is long enough.
+    "access": (r"AKIA[A-Z0-9]{16,}", None, 20),
+    "hex": (r"[0-9a-f]{24,}", None, 24),
 }
 
 
