@@ -20,9 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .tokens import encoder
+from .tokens import ID_BYTES, encoder
 
-ID_BYTES = 4
 #: Sequence numbers of a split start at its number times this.
 SPLIT_SPAN = 1 << 40
 

@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 #: White space before a space (with U+180E, which some versions count in).
 _RUN = re.compile("[\\s᠎] ")
 _BLANK = " "
+ID_BYTES = 4
 
 
 class PieceEncoder:
