@@ -22,10 +22,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, text_of
 from .components import connected_components
 
 SEED = 42
@@ -185,6 +185,18 @@ def _link_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([_signed(x[i]) for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
 
+def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, shard_limit: int) -> DataFrame:
+    """Each row's id, a hash of its text, fingerprint, the smallest fingerprint of its component and the smallest id."""
+    keyed = docs.select(F.col(id_col), F.xxhash64(text_of(text_col)).alias("text_hash"), F.col(text_col))
+    prints = stored(simhash(keyed, text_col, "fp", shingle, [id_col, "text_hash"]), "simhash")
+    nodes = prints.groupBy("fp").agg(F.min(id_col).alias("least"))
+    roots = connected_components(near_links(nodes.select("fp"), radius, shard_limit))
+    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    of = rooted.join(least, "root").select(F.col("fp").alias("_fp"), "root", "component_id")
+    return prints.join(of, F.col("fp") == F.col("_fp")).drop("_fp")
+
+
 def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2, shard_limit: int = 1024) -> DataFrame:
     """One row for each input row: ``(id, fp, component_id)``.
 
@@ -192,10 +204,18 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     that can be reached, null where no id of the component is known. All texts without words share fingerprint zero
     and so are linked. Repeated rows are one node and each keeps its own output row; an empty table gives no rows.
     """
-    prints = stored(simhash(docs.select(F.col(id_col), F.col(text_col)), text_col, "fp", shingle, [id_col]), "simhash")
-    nodes = prints.groupBy("fp").agg(F.min(id_col).alias("least"))
-    roots = connected_components(near_links(nodes.select("fp"), radius, shard_limit))
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = rooted.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
-    return prints.join(of, F.col("fp") == F.col("_fp")).select(id_col, "fp", "component_id")
+    return _components(docs, id_col, text_col, shingle, radius, shard_limit).select(id_col, "fp", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 2, shard_limit: int = 1024) -> DataFrame:
+    """The rows of ``docs`` less all but one of each component: the one with the smallest id, a null before others.
+
+    Of rows with this id the one whose text has the smallest hash stays, and of rows with this text too any one.
+    """
+    found = _components(docs, id_col, text_col, shingle, radius, shard_limit)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col(id_col).alias("i"), F.col("text_hash").alias("h"))).alias("k"))
+    keys = first.select(F.col("k.i").alias("_kept_id"), F.col("k.h").alias("_kept_hash"))
+    hashed = docs.withColumn("_text_hash", F.xxhash64(text_of(text_col)))
+    kept = hashed.join(keys, F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_text_hash") == F.col("_kept_hash")), "left_semi")
+    one = Window.partitionBy(id_col, "_text_hash").orderBy(F.lit(1))
+    return kept.withColumn("_row", F.row_number().over(one)).where("_row = 1").select(*docs.columns)
