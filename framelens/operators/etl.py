@@ -18,27 +18,33 @@ def hash_unit(seed: str | int, *keys: str) -> Column:
     return F.conv(F.substring(hash_order(seed, *keys), 1, 7), 16, 10).cast("long") / F.lit(float(16**7))
 
 
+#: The most ranges that a total order is cut into.
+MAX_RANGES = 256
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _number_of(rows: DataFrame, column: str) -> Column:
+    """A number that sorts as the column does: itself, or the first six bytes of its text."""
+    if dict(rows.dtypes)[column] in _NUMERIC:
+        return F.col(column).cast("double")
+    lead = F.rpad(F.substring(F.hex(F.col(column).cast("string").cast("binary")), 1, 12), 12, "0")
+    return F.conv(lead, 16, 10).cast("double")
+
+
 def dense_numbers(rows: DataFrame, order: list[str], into: str, start: int = 1) -> DataFrame:
     """Numbers rows from ``start`` in the order of the columns, which must be total, without one task for all.
 
-    Rows are dealt out by ranges of the order; each range is numbered alone and starts where those before end.
+    The first column is cut at approximate quantiles, a bounded list on the driver; each range is numbered alone and
+    starts where those before it end. Nulls come first.
     """
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first, *rest = order
-    edges = rows.select(first).where(F.col(first).isNotNull())
-    kind = dict(rows.dtypes)[first]
-    if kind in ("tinyint", "smallint", "int", "bigint", "double", "float") or kind.startswith("decimal"):
-        cuts = edges.agg(F.percentile_approx(first, [i / n for i in range(1, n)])).first()[0] if n > 1 else []
-        cuts = sorted(set(cuts or []))
-    else:
-        sampled = edges.agg(F.percentile_approx(F.conv(F.substring(F.hex(F.col(first).cast("string").cast("binary")), 1, 12), 16, 10).cast("long"), [i / n for i in range(1, n)])).first()[0] if n > 1 else []
-        cuts = sorted(set(sampled or []))
-    base = F.col(first) if kind in ("tinyint", "smallint", "int", "bigint", "double", "float") or kind.startswith("decimal") else F.conv(F.rpad(F.substring(F.hex(F.col(first).cast("string").cast("binary")), 1, 12), 12, "0"), 16, 10).cast("long")
+    n = min(MAX_RANGES, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    place = _number_of(rows, order[0])
+    cuts = rows.agg(F.percentile_approx(place, [i / n for i in range(1, n)])).first()[0] if n > 1 else None
     step = F.lit(0)
-    for c in cuts:
-        step = step + F.when(base > c, 1).otherwise(0)
-    marked = rows.withColumn("_step", F.coalesce(step, F.lit(-1))).withColumn("_one", F.lit(1)).withColumn("_all", F.lit(0))
-    numbered = running_sums(marked, ["_all"], [F.col(c) for c in (first, *rest)], {into: "_one"})
+    for c in sorted(set(cuts or [])):
+        step = step + F.when(place > c, 1).otherwise(0)
+    marked = rows.withColumn("_step", F.when(place.isNull(), -1).otherwise(step)).withColumn("_one", F.lit(1)).withColumn("_all", F.lit(0))
+    numbered = running_sums(marked, ["_all"], [F.col(c) for c in order], {into: "_one"})
     return numbered.withColumn(into, F.col(into) + (start - 1)).drop("_step", "_one", "_all")
 
 
@@ -68,7 +74,7 @@ def allocate(strata: DataFrame, total: int, stratum: str = "signature", size: st
     rooms = F.collect_list("_room").over(every)
     taken = lambda r: F.aggregate(F.col("_rooms"), F.lit(0).cast("long"), lambda a, x: a + F.least(x, r))
     # The largest number of whole rounds that the remainder pays for, by bisection over 40 bits.
-    rounds = F.aggregate(F.sequence(F.lit(39), F.lit(0), F.lit(-1)), F.lit(0).cast("long"), lambda r, b: F.when(taken(r + F.shiftleft(F.lit(1).cast("long"), 0) * F.pow(F.lit(2.0), b).cast("long")) <= F.abs("_left"), r + F.pow(F.lit(2.0), b).cast("long")).otherwise(r))
+    rounds = F.aggregate(F.sequence(F.lit(39), F.lit(0), F.lit(-1)), F.lit(0).cast("long"), lambda r, b: F.when(taken(r + F.pow(F.lit(2.0), b).cast("long")) <= F.abs("_left"), r + F.pow(F.lit(2.0), b).cast("long")).otherwise(r))
     whole = room.withColumn("_rooms", rooms).withColumn("_rounds", rounds)
     rest = whole.withColumn("_more", F.abs("_left") - taken(F.col("_rounds"))).withColumn("_can", (F.col("_room") > F.col("_rounds")).cast("int"))
     turn = Window.orderBy(F.desc(size), stratum).rowsBetween(Window.unboundedPreceding, 0)
