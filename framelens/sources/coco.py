@@ -66,7 +66,7 @@ def read_label_files(spark: SparkSession, path: str, keypoints: tuple[int, int]
 
     Lines are class and box (5 fields), class and polygon (more than 6), or class, box and keypoints.
     """
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path).withColumn("path", F.col("_metadata.file_path"))
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True).withColumn("path", F.col("_metadata.file_path"))
     lines = F.filter(F.split("value", r"\r?\n"), lambda s: F.trim(s) != "")
     numbers = F.transform(lines, lambda s: F.transform(F.split(F.trim(s), r"\s+"), lambda v: v.try_cast("double")))
     rows = files.select("path", numbers.alias("rows"))

@@ -1,0 +1,107 @@
+"""The tracker in batch and as a stream, and the streaming counts."""
+
+from __future__ import annotations
+
+import itertools
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+
+from framelens.streaming.counters import alarms, newest_frames, windowed_region_counts
+from framelens.streaming.tracker import Tracker, assign, track_batch, track_rows, track_stream
+
+SCHEMA = "stream long, frame long, idx long, cls string, conf double, x1 double, y1 double, x2 double, y2 double"
+
+
+def frame(*rows):
+    return pd.DataFrame([(i, "a", c, x, y, x + 20.0, y + 20.0) for i, (c, x, y) in enumerate(rows)], columns=["idx", "cls", "conf", "x1", "y1", "x2", "y2"])
+
+
+def scene(streams=2, frames=12):
+    rng = np.random.default_rng(3)
+    rows = []
+    for s in range(streams):
+        for f in range(1, frames + 1):
+            for k in range(3):
+                if rng.random() < 0.85:
+                    x = 30.0 * k + 2 * f + rng.normal(0, 0.3)
+                    rows.append((s, f, k, "a", float(rng.uniform(0.12, 0.95)), x, 5.0 + f, x + 20, 30.0 + f))
+    return rows
+
+
+def test_assignment_against_all_permutations():
+    rng = np.random.default_rng(0)
+    for _ in range(60):
+        cost = rng.random((rng.integers(1, 5), rng.integers(1, 5)))
+        limit = 0.6
+        best = min(
+            sum(cost[i, j] for i, j in enumerate(p) if j < cost.shape[1] and cost[i, j] <= limit) + limit * sum(j >= cost.shape[1] or cost[i, j] > limit for i, j in enumerate(p))
+            for p in itertools.permutations(range(cost.shape[0] + cost.shape[1]), cost.shape[0])
+        )
+        pairs = assign(cost, limit)
+        assert len({i for i, _ in pairs}) == len(pairs) == len({j for _, j in pairs})
+        assert sum(cost[i, j] for i, j in pairs) + limit * (cost.shape[0] - len(pairs)) <= best + 1e-6
+
+
+def test_low_score_keeps_the_id():
+    t = Tracker()
+    first = t.step(frame((0.9, 0.0, 0.0)))
+    second = t.step(frame((0.15, 1.0, 0.0)))
+    assert [x.track_id for x in first] == [x.track_id for x in second] == [1]
+
+
+def test_second_association_reports_the_row_of_the_frame():
+    t = Tracker()
+    t.step(frame((0.9, 0.0, 0.0), (0.9, 100.0, 0.0), (0.9, 200.0, 0.0)))
+    out = t.step(frame((0.9, 0.0, 0.0), (0.9, 100.0, 0.0), (0.2, 200.0, 0.0)))
+    assert {x.track_id: x.idx for x in out}[3] == 2
+
+
+def test_later_births_need_a_second_match():
+    t = Tracker()
+    t.step(frame((0.9, 0.0, 0.0)))
+    assert len(t.step(frame((0.9, 0.0, 0.0), (0.9, 200.0, 0.0)))) == 1
+    assert len(t.step(frame((0.9, 0.0, 0.0), (0.9, 200.0, 0.0)))) == 2
+
+
+def test_lost_tracks_come_back_within_the_buffer():
+    t = Tracker()
+    t.step(frame((0.9, 0.0, 0.0)))
+    for _ in range(10):
+        assert not t.step(frame())
+    assert [x.track_id for x in t.step(frame((0.9, 0.0, 0.0)))] == [1]
+    for _ in range(40):
+        t.step(frame())
+    assert not t.tracks
+
+
+def test_batch_equals_single_runs_and_stream(spark, tmp_path):
+    rows = scene()
+    dets = spark.createDataFrame(rows, SCHEMA)
+    table = pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
+    want = pd.concat([track_rows(Tracker(), s, table[table.stream == s]) for s in (0, 1)])
+    key = ["stream", "frame", "track_id"]
+    got = track_batch(dets).toPandas().sort_values(key).reset_index(drop=True)
+    pd.testing.assert_frame_equal(got, want.sort_values(key).reset_index(drop=True))
+    for part, (low, high) in enumerate(((1, 4), (5, 5), (6, 12))):
+        dets.where(F.col("frame").between(low, high)).coalesce(1).write.json(str(tmp_path / "in" / f"p{part}"))
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).json(str(tmp_path / "in"))
+    run = track_stream(stream).writeStream.format("memory").queryName("tracked").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    run.awaitTermination()
+    live = spark.table("tracked").toPandas().sort_values(key).reset_index(drop=True)
+    pd.testing.assert_frame_equal(live, got)
+
+
+def test_streaming_counts(spark, tmp_path):
+    rows = [("2024-01-01T00:00:01", 0, 1, 5.0, 5.0), ("2024-01-01T00:00:02", 0, 1, 6.0, 6.0), ("2024-01-01T00:00:15", 0, 2, 50.0, 5.0), ("2024-01-01T00:10:00", 0, 3, 5.0, 5.0)]
+    schema = "ts timestamp, stream long, frame long, cx double, cy double"
+    static = spark.createDataFrame([(r[0], *r[1:]) for r in rows], "ts string, stream long, frame long, cx double, cy double").withColumn("ts", F.to_timestamp("ts"))
+    static.coalesce(1).write.json(str(tmp_path / "in"))
+    source = lambda: spark.readStream.schema(schema).json(str(tmp_path / "in"))
+    square = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)]
+    for name, df, mode in (("counts", windowed_region_counts(source(), square), "complete"), ("alarms", alarms(source(), 2), "append")):
+        df.writeStream.format("memory").outputMode(mode).queryName(name).option("checkpointLocation", str(tmp_path / f"cp{name}")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.n for r in spark.table("counts").collect()) == [1, 2]
+    assert [(r.stream, r.frame) for r in spark.table("alarms").collect()] == [(0, 1)]
+    assert newest_frames(static).count() == 1
