@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 
 from .common import order_id, ranged, stored, text_of
 
-EXACT = 8
+EXACT = 16
 SKETCH = 128
 #: A part ends after a line break, a sentence end or a cell mark with the white space behind it.
 PART_END = r"(?<=\n)|(?<=[.!?|;] )"
-LOW32 = 0xFFFFFFFF
+LANE = 0xFFFF
 EACH_HALF = 0x0000000100000001
 
 
@@ -34,13 +34,13 @@ def parts_of(text: Column) -> Column:
 
 
 def _lane_sums(part: Column) -> list[Column]:
-    """Sums over exploded parts (null: no part). Two 32-bit lanes share a long; none reaches the other's bits."""
+    """Sums over exploded parts (null: no part). A long holds one lane or, in two halves that never meet, two."""
     there = part.isNotNull()
     add = lambda c: F.coalesce(F.sum(F.when(there, c)), F.lit(0))
     sums = [F.count(part)]
-    for seed in range(EXACT // 2):
+    for seed in range(EXACT // 4):
         h = F.xxhash64(part, F.lit(seed))
-        sums += [add(h.bitwiseAND(F.lit(LOW32))), add(F.shiftrightunsigned(h, 32))]
+        sums += [add(F.shiftrightunsigned(h, j).bitwiseAND(F.lit(LANE))) for j in (0, 16, 32, 48)]
     for seed in range(SKETCH // 64):
         h = F.xxhash64(part, F.lit(1000 + seed))
         sums += [add(F.shiftrightunsigned(h, j).bitwiseAND(F.lit(EACH_HALF))) for j in range(32)]
@@ -48,13 +48,12 @@ def _lane_sums(part: Column) -> list[Column]:
 
 
 def _lanes(sums: list[Column]) -> Column:
-    exact = [s.bitwiseAND(F.lit(LOW32)) for s in sums[1 : 1 + EXACT]]
-    sketch = [x.bitwiseAND(F.lit(0xFFFF)) for s in sums[1 + EXACT :] for x in (s, F.shiftrightunsigned(s, 32))]
-    return F.array(sums[0].bitwiseAND(F.lit(LOW32)), *exact, *sketch)
+    halves = [x for s in sums[1 + EXACT :] for x in (s, F.shiftrightunsigned(s, 32))]
+    return F.array(*[x.bitwiseAND(F.lit(LANE)).cast("int") for x in (*sums[: 1 + EXACT], *halves)])
 
 
 def fingerprint_texts(texts: DataFrame, keys: list[str], text_col: str = "text", into: str = "lanes") -> DataFrame:
-    """``keys`` and the vector (array of longs) of the multiset of all parts of the rows with these keys."""
+    """``keys`` and the vector (array of integers) of the multiset of all parts of the rows with these keys."""
     rows = texts.select(*keys, F.explode_outer(parts_of(text_of(text_col))).alias("_part"))
     names = [f"_s{i}" for i in range(1 + EXACT + SKETCH // 2)]
     summed = rows.groupBy(*keys).agg(*[c.alias(n) for n, c in zip(names, _lane_sums(F.col("_part")))])
@@ -63,28 +62,24 @@ def fingerprint_texts(texts: DataFrame, keys: list[str], text_col: str = "text",
 
 def add(a: Column, b: Column) -> Column:
     """The vector of the union of two multisets: what inserting ``b`` gives."""
-    return _wrap(F.zip_with(a, b, lambda x, y: x + y))
+    return F.zip_with(a, b, lambda x, y: (x + y).bitwiseAND(F.lit(LANE)))
 
 
 def subtract(a: Column, b: Column) -> Column:
     """The vector that is left after deleting the parts of ``b``."""
-    return _wrap(F.zip_with(a, b, lambda x, y: x - y))
-
-
-def _wrap(lanes: Column) -> Column:
-    return F.transform(lanes, lambda x, i: x.bitwiseAND(F.when(i <= EXACT, F.lit(LOW32)).otherwise(F.lit(0xFFFF))))
+    return F.zip_with(a, b, lambda x, y: (x - y).bitwiseAND(F.lit(LANE)))
 
 
 def digest(lanes: Column) -> Column:
     """A vector as fixed-width lowercase hex."""
-    return F.lower(F.array_join(F.transform(lanes, lambda x, i: F.lpad(F.hex(x), F.when(i <= EXACT, 8).otherwise(4), F.lit("0"))), ""))
+    return F.lower(F.array_join(F.transform(lanes, lambda x: F.lpad(F.hex(x), 4, "0")), ""))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """0 to 1: the estimated shared mass 2ab / (aa + bb) of two vectors. 1 for equal ones, empty texts included."""
 
     def signed(x: Column, n: Column) -> Column:
-        return F.pmod(2 * x - n + 0x8000, F.lit(0x10000)) - 0x8000
+        return (F.pmod(2 * x - n + 0x8000, F.lit(0x10000)) - 0x8000).cast("long")
 
     pairs = F.zip_with(F.slice(a, EXACT + 2, SKETCH), F.slice(b, EXACT + 2, SKETCH), lambda x, y: F.struct(signed(x, F.get(a, F.lit(0))).alias("x"), signed(y, F.get(b, F.lit(0))).alias("y")))
     start = F.struct(F.lit(0).cast("long").alias("both"), F.lit(0).cast("long").alias("own"))
