@@ -181,8 +181,9 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, label_col: str = "qual
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
     sample = usable.select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias("_y")).orderBy(F.xxhash64("_id", "_y")).limit(max_rows)
     # Bounded by max_rows: two numbers a row.
-    labelled = docs.join(F.broadcast(sample), F.col(id_col) == F.col("_id")).select("_id", "_y", F.col(text_col))
-    rows = text_features(labelled, text_col, ["_id", "_y"]).orderBy("_id", "_y", "features").limit(2 * max_rows).collect()
+    texts = docs.select(F.col(id_col).alias("_key"), F.col(text_col).alias("_text"))
+    labelled = texts.join(F.broadcast(sample), F.col("_key") == F.col("_id")).select("_id", "_y", "_text")
+    rows = text_features(labelled, "_text", ["_id", "_y"]).orderBy("_id", "_y", "features").limit(2 * max_rows).collect()
     x = np.array([r["features"] for r in rows], float).reshape(-1, len(FEATURES))
     return fit(x, np.array([r["_y"] for r in rows], float))
 
