@@ -4,7 +4,8 @@ A document's ids, with an end id, are cut at every multiple of the capacity; who
 shorter than a window, waits in a pool. A window is filled from the pool so: the longest waiting piece goes in, then
 a subset-sum dynamic program over the multiset of waiting lengths finds the largest total that still fits. The
 reachable totals are the bits of an integer; a length that waits c times is shifted in as 1, 2, 4, ... copies, and
-walking the steps back gives how many pieces of each length to take.
+walking the steps back gives how many pieces of each length to take. Where even the best total leaves a gap, the
+start of another piece is cut off for it.
 
 Every task packs the rows of its own input split in order, so there is no shuffle, memory is bounded by the pool, and
 a lost task is repeated with the same result. A split leaves at most one partly filled window.
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -49,19 +51,36 @@ def best_fill(counts: dict[int, int], room: int) -> dict[int, int]:
     return taken
 
 
+@dataclass(slots=True)
+class Piece:
+    """Ids of a document from ``start`` on: as bytes, with the document's row and number of ids."""
+
+    row: tuple
+    start: int
+    ids: bytes
+    total: int
+
+    def __len__(self) -> int:
+        return len(self.ids) // ID_BYTES
+
+    def cut(self, n: int) -> tuple[Piece, Piece]:
+        """The first n ids and the others."""
+        return replace(self, ids=self.ids[: n * ID_BYTES]), replace(self, start=self.start + n, ids=self.ids[n * ID_BYTES :])
+
+
 class Pool:
     """Waiting pieces by length."""
 
     def __init__(self, capacity: int, high: int, low: int) -> None:
         self.capacity, self.high, self.low = capacity, high, low
-        self.waiting: dict[int, list] = {}
+        self.waiting: dict[int, list[Piece]] = {}
         self.size = 0
 
-    def put(self, length: int, piece: tuple) -> None:
-        self.waiting.setdefault(length, []).append(piece)
+    def put(self, piece: Piece) -> None:
+        self.waiting.setdefault(len(piece), []).append(piece)
         self.size += 1
 
-    def _take(self, length: int) -> tuple:
+    def _take(self, length: int) -> Piece:
         pieces = self.waiting[length]
         piece = pieces.pop()
         if not pieces:
@@ -69,15 +88,23 @@ class Pool:
         self.size -= 1
         return piece
 
-    def window(self) -> list[tuple]:
+    def window(self) -> list[Piece]:
+        """The longest piece and the best filling; a gap that is left takes the start of the shortest other piece.
+
+        All pieces that are left are longer than the gap, or one would have fitted.
+        """
         longest = max(self.waiting)
-        chosen = [self._take(longest)]
-        fill = best_fill({k: len(v) for k, v in self.waiting.items()}, self.capacity - longest)
-        for length, copies in fill.items():
+        chosen, room = [self._take(longest)], self.capacity - longest
+        for length, copies in best_fill({k: len(v) for k, v in self.waiting.items()}, room).items():
             chosen += [self._take(length) for _ in range(copies)]
+            room -= length * copies
+        if room and self.waiting:
+            first, rest = self._take(min(self.waiting)).cut(room)
+            chosen.append(first)
+            self.put(rest)
         return chosen
 
-    def windows(self, finish: bool = False) -> Iterator[list[tuple]]:
+    def windows(self, finish: bool = False) -> Iterator[list[Piece]]:
         if finish or self.size >= self.high:
             while self.size > (0 if finish else self.low):
                 yield self.window()
@@ -98,31 +125,31 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
     end = end_id.to_bytes(ID_BYTES, "little")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path).encode
+        encode = encoder(tokenizer_path)
         pool, sequence, types = Pool(capacity, pool_high, pool_low), TaskContext.get().partitionId() * SPLIT_SPAN, None
         out: list[tuple] = []
 
-        def place(pieces: list[tuple]) -> None:
+        def place(pieces: list[Piece]) -> None:
             nonlocal sequence
             offset = 0
-            for piece in pieces:
-                out.append((*piece, sequence, offset))
-                offset += piece[-3]
+            for p in pieces:
+                out.append((*p.row, p.start, len(p), zlib.crc32(p.ids), p.total, sequence, offset))
+                offset += len(p)
             sequence += 1
 
         for batch in batches:
             types = [f.type for f in batch.schema][:-1]
             carried = [c.to_pylist() for c in batch.columns[:-1]]
-            for i, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-                data = memoryview(encode(text or "") + end)
+            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
+            for i, found in enumerate(map(encode.encode, texts)):
+                data = found + end
                 total, row = len(data) // ID_BYTES, tuple(c[i] for c in carried)
                 for start in range(0, total, capacity):
-                    ids = data[start * ID_BYTES : (start + capacity) * ID_BYTES]
-                    piece = (*row, start, len(ids) // ID_BYTES, zlib.crc32(ids), total)
-                    if len(ids) == capacity * ID_BYTES:
+                    piece = Piece(row, start, data[start * ID_BYTES : (start + capacity) * ID_BYTES], total)
+                    if len(piece) == capacity:
                         place([piece])
                     else:
-                        pool.put(len(ids) // ID_BYTES, piece)
+                        pool.put(piece)
             for pieces in pool.windows():
                 place(pieces)
             if len(out) > 20_000:

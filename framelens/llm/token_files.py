@@ -172,8 +172,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
         with store.open_output_stream(f"{base}/{name}.ids") as out:
             out.write(MAGIC + width.to_bytes(HEAD - len(MAGIC), "little"))
             for batch in (b for part in ((first,), batches) for b in part):
-                for there, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                    data = encode.encode(text) + end
+                for there, doc, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), map(encode.encode, batch.column(2).to_pylist())):
+                    data = found + end
                     out.write(np.frombuffer(data, "<u4").astype(f"<u{width}").tobytes())
                     ids.append(doc)
                     known.append(there)
