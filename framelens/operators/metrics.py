@@ -15,10 +15,10 @@ BACKGROUND = "background"
 def detection_confusion(dets: DataFrame, truth: DataFrame, min_conf: float = 0.25, min_iou: float = 0.45) -> DataFrame:
     """predicted, actual, n over matched pairs; what has no partner pairs with the background."""
     pairs = match_any_class(dets, truth, min_iou, min_conf)
-    missed = unmatched(truth, pairs, ["image", "gt"]).select(F.lit(BACKGROUND).alias("predicted"), F.col("cls").cast("string").alias("actual"))
+    of_truth = truth.select("image", "gt", F.col("cls").cast("string").alias("actual")).join(pairs.select("image", "gt", F.col("det_cls").cast("string").alias("_p")), ["image", "gt"], "left")
     extra = unmatched(dets.where(F.col("conf") > min_conf), pairs, ["image", "det"]).select(F.col("cls").cast("string").alias("predicted"), F.lit(BACKGROUND).alias("actual"))
-    met = pairs.select(F.col("det_cls").cast("string").alias("predicted"), F.col("gt_cls").cast("string").alias("actual"))
-    return met.unionByName(missed).unionByName(extra).groupBy("predicted", "actual").agg(F.count("*").alias("n"))
+    cells = of_truth.select(F.coalesce("_p", F.lit(BACKGROUND)).alias("predicted"), "actual").unionByName(extra)
+    return cells.groupBy("predicted", "actual").agg(F.count("*").alias("n"))
 
 
 def class_confusion(rows: DataFrame, predicted: str, actual: str) -> DataFrame:

@@ -9,13 +9,13 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from framelens.streaming.counters import alarms, newest_frames, windowed_region_counts
-from framelens.streaming.tracker import Tracker, assign, track_batch, track_rows, track_stream
+from framelens.streaming.tracker import Detection, Tracker, assign, track_batch, track_rows, track_stream
 
 SCHEMA = "stream long, frame long, idx long, cls string, conf double, x1 double, y1 double, x2 double, y2 double"
 
 
 def frame(*rows):
-    return pd.DataFrame([(i, "a", c, x, y, x + 20.0, y + 20.0) for i, (c, x, y) in enumerate(rows)], columns=["idx", "cls", "conf", "x1", "y1", "x2", "y2"])
+    return [Detection(i, "a", c, np.array([x, y, x + 20.0, y + 20.0])) for i, (c, x, y) in enumerate(rows)]
 
 
 def scene(streams=2, frames=12):
