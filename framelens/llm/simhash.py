@@ -205,17 +205,3 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     and so are linked. Repeated rows are one node and each keeps its own output row; an empty table gives no rows.
     """
     return _components(docs, id_col, text_col, shingle, radius, shard_limit).select(id_col, "fp", "component_id")
-
-
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 2, shard_limit: int = 1024) -> DataFrame:
-    """The rows of ``docs`` less all but one of each component: the one with the smallest id, a null before others.
-
-    Of rows with this id the one whose text has the smallest hash stays, and of rows with this text too any one.
-    """
-    found = _components(docs, id_col, text_col, shingle, radius, shard_limit)
-    first = found.groupBy("root").agg(F.min(F.struct(F.col(id_col).alias("i"), F.col("text_hash").alias("h"))).alias("k"))
-    keys = first.select(F.col("k.i").alias("_kept_id"), F.col("k.h").alias("_kept_hash"))
-    hashed = docs.withColumn("_text_hash", F.xxhash64(text_of(text_col)))
-    kept = hashed.join(keys, F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_text_hash") == F.col("_kept_hash")), "left_semi")
-    one = Window.partitionBy(id_col, "_text_hash").orderBy(F.lit(1))
-    return kept.withColumn("_row", F.row_number().over(one)).where("_row = 1").select(*docs.columns)

@@ -14,9 +14,10 @@ import xxhash
 from pyspark.sql import functions as F
 
 from framelens.llm.components import connected_components
+from framelens.llm.near_copies import drop_near_duplicates, near_copies, shard_groups, shingle_hashes, sketch
 from framelens.llm.repetition import longest_repeats, repetition_report
 from framelens.llm.secret_scan import ENTROPY_CLASSES, redact, scan_secrets, span_text
-from framelens.llm.simhash import BKTree, drop_near_duplicates, fingerprint, near_duplicate_components, near_links, shard_links
+from framelens.llm.simhash import BKTree, fingerprint, near_duplicate_components, near_links, shard_links
 from framelens.llm.substring_dedup import remove_repeated_windows, window_hashes
 
 
@@ -244,6 +245,53 @@ def test_one_of_each_component_stays(odd, none):
     assert drop_near_duplicates(none).count() == 0
 
 
+def jaccard(a, b):
+    a, b = set(shingle_hashes(a, 5).tolist()), set(shingle_hashes(b, 5).tolist())
+    return len(a & b) / max(1, len(a | b))
+
+
+def test_near_copies_against_exact_similarity(spark):
+    """Clear near copies are caught and texts that share less are left alone; chains of copies are one group."""
+    rng = random.Random(8)
+    rows = []
+    for base in range(12):
+        words = [f"w{rng.randint(0, 5000)}" for _ in range(rng.randint(60, 400))]
+        for copy in range(6):
+            changed = list(words)
+            for at in rng.sample(range(len(words)), max(1, len(words) * (copy % 3) // 90)):
+                changed[at] = f"n{base}x{copy}x{at}"
+            rows.append((len(rows), " ".join(changed)))
+        rows.append((len(rows), " ".join(words[: len(words) // 2] + [f"o{base}x{i}" for i in range(len(words) // 2)])))
+    found = {r.doc_id: r.root for r in near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, a in rows:
+        for j, b in rows[:i]:
+            likeness = jaccard(a, b)
+            if likeness >= 0.86:
+                assert found[i] == found[j], (i, j, likeness)
+            if likeness < 0.2:
+                assert found[i] != found[j]
+    lone = [i for i, _ in rows if i % 7 == 6]
+    assert all(list(found.values()).count(found[i]) == 1 for i in lone)
+
+
+@pytest.mark.parametrize("n", [40, 600])
+def test_groups_of_a_shard(n):
+    """Small shards use a tree, large ones a scan: both find the groups of all pairs."""
+    rng = random.Random(n)
+    texts = [" ".join(f"g{i % 5}w{k if rng.random() > 0.004 else rng.random()}" for k in range(80)) for i in range(n)]
+    sketches = [sketch(t, 5) for t in texts]
+    prints = np.array([s[0] for s in sketches], np.int64).view(np.uint64)
+    signatures = np.frombuffer(b"".join(s[1] for s in sketches), np.uint8).reshape(n, -1)
+    links = dict(shard_groups(list(range(n)), prints, signatures, 20, 0.78))
+    label = list(range(n))
+    for i in range(n):
+        close = np.flatnonzero(((signatures[:i] == signatures[i]).mean(axis=1) >= 0.78) & (np.bitwise_count(prints[:i] ^ prints[i]) <= 20))
+        for j in close:
+            low, high = sorted((label[i], label[j]))
+            label = [low if x == high else x for x in label]
+    assert [links.get(i, i) for i in range(n)] == label
+
+
 # Substring dedup
 
 
