@@ -26,7 +26,7 @@ BASE_MIN_WORDS = 10
 BASE_MAX_REPEAT_PERCENT = 20
 
 #: Words analysed as one sequence; a longer document is a sequence of its own.
-BATCH_WORDS = 400_000
+BATCH_WORDS = 150_000
 
 REPORT = T.StructType(
     [T.StructField(n, T.LongType(), False) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_chars", "longest_repeat")]
@@ -169,8 +169,10 @@ def repetition_report(docs: DataFrame, text_col: str = "text", into: str = "repe
 
     def analyse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-            found = [r for chunk in _chunks(texts) for r in _reports(chunk, min_words, max_covered, max_longest)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, arrow_type)], names=[*names, into])
+            at = 0
+            for texts in _chunks([t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]):
+                found = pa.array(_reports(texts, min_words, max_covered, max_longest), arrow_type)
+                yield pa.RecordBatch.from_arrays([*(c.slice(at, len(texts)) for c in batch.columns[:-1]), found], names=[*names, into])
+                at += len(texts)
 
     return source.mapInArrow(analyse, schema)
