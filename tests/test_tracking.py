@@ -6,10 +6,12 @@ import itertools
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from framelens.streaming.counters import alarms, newest_frames, windowed_region_counts
 from framelens.streaming.tracker import Detection, Tracker, assign, track_batch, track_rows, track_stream
+from framelens.streaming.variants import AppearanceConfig, AppearanceTracker, MotionAppearanceConfig, MotionAppearanceTracker, MotionConfig, MotionTracker, OcclusionConfig, OcclusionTracker, PoolConfig, PoolTracker, mutual_nearest, warp_all
 
 SCHEMA = "stream long, frame long, idx long, cls string, conf double, x1 double, y1 double, x2 double, y2 double"
 
@@ -105,3 +107,44 @@ def test_streaming_counts(spark, tmp_path):
     assert sorted(r.n for r in spark.table("counts").collect()) == [1, 2]
     assert [(r.stream, r.frame) for r in spark.table("alarms").collect()] == [(0, 1)]
     assert newest_frames(static).count() == 1
+
+
+def moving(n=14, gap=()):
+    return [[Detection(0, "a", 0.9, np.array([5.0 * f, 0, 5.0 * f + 20, 20]), np.array([1.0, 0.0]))] if f not in gap else [] for f in range(n)]
+
+
+@pytest.mark.parametrize("kind,config", [(MotionTracker, MotionConfig()), (AppearanceTracker, AppearanceConfig()), (MotionAppearanceTracker, MotionAppearanceConfig()), (OcclusionTracker, OcclusionConfig()), (PoolTracker, PoolConfig())])
+def test_variants_keep_one_id(kind, config):
+    t = kind(config)
+    for rows in moving():
+        out = t.step(rows)
+        assert [x.track_id for x in out] == [1]
+    t = kind(config)
+    ids = [x.track_id for rows in moving(gap=(6, 7)) for x in t.step(rows)]
+    assert set(ids) == {1} and len(ids) == 12
+
+
+def test_looks_decide_between_neighbours():
+    looks = [np.array([1.0, 0.0]), np.array([0.0, 1.0])]
+    t = AppearanceTracker(AppearanceConfig())
+    t.step([Detection(i, "a", 0.9, np.array([4.0 * i, 0, 4.0 * i + 20, 20]), looks[i]) for i in (0, 1)])
+    out = t.step([Detection(i, "a", 0.9, np.array([4.0 * (1 - i), 0, 4.0 * (1 - i) + 20, 20]), looks[i]) for i in (0, 1)])
+    assert {x.track_id: x.idx for x in out} == {1: 0, 2: 1}
+
+
+def test_a_hidden_track_waits():
+    front, back = np.array([0.0, 0, 40, 40]), np.array([5.0, 5, 35, 35])
+    t = OcclusionTracker(OcclusionConfig())
+    t.step([Detection(0, "a", 0.9, front), Detection(1, "a", 0.9, back)])
+    for _ in range(5):
+        t.step([Detection(0, "a", 0.9, front)])
+    assert not t.tracks[1].lost
+
+
+def test_mutual_nearest_and_warp():
+    assert mutual_nearest(np.array([[0.1, 0.2], [0.15, 0.6]]), 0.7) == [(0, 0), (1, 1)]
+    assert mutual_nearest(np.array([[0.9]]), 0.7) == []
+    t = Tracker()
+    t.step(frame((0.9, 0.0, 0.0)))
+    warp_all(t.tracks, np.array([[2.0, 0, 5], [0, 2.0, 7]]))
+    assert t.tracks[0].mean[:4].tolist() == [25.0, 27.0, 1.0, 40.0]
