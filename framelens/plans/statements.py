@@ -32,6 +32,23 @@ CONCAVE = [(10, 20), (90, 20), (90, 160), (50, 90), (10, 160)]
 HULL = [(10, 20), (90, 20), (90, 160), (10, 160)]
 SLOT = [(0, 0), (30, 0), (30, 50), (0, 50)]
 
+def _side(ax: str, ay: str, bx: str, by: str, x: str, y: str) -> str:
+    return f"(({bx} - {ax}) * ({y} - {ay}) - ({by} - {ay}) * ({x} - {ax}))"
+
+
+def _meets(points: list[tuple[float, float]]) -> str:
+    """Whether the step (px, py) to (cx, cy) touches an edge."""
+    parts = []
+    for (ax, ay), (bx, by) in zip(points, [*points[1:], points[0]]):
+        d1, d2 = _side(ax, ay, bx, by, "px", "py"), _side(ax, ay, bx, by, "cx", "cy")
+        d3, d4 = _side("px", "py", "cx", "cy", ax, ay), _side("px", "py", "cx", "cy", bx, by)
+        low = lambda u, v: (min(u, v), max(u, v))
+        on = lambda x, y: f"{x} BETWEEN {low(ax, bx)[0]} AND {low(ax, bx)[1]} AND {y} BETWEEN {low(ay, by)[0]} AND {low(ay, by)[1]}"
+        step = lambda x, y: f"{x} BETWEEN least(px, cx) AND greatest(px, cx) AND {y} BETWEEN least(py, cy) AND greatest(py, cy)"
+        parts.append(f"(sign({d1}) * sign({d2}) < 0 AND sign({d3}) * sign({d4}) < 0) OR ({d1} = 0 AND {on('px', 'py')}) OR ({d2} = 0 AND {on('cx', 'cy')}) OR ({d3} = 0 AND {step(ax, ay)}) OR ({d4} = 0 AND {step(bx, by)})")
+    return "(" + " OR ".join(parts) + ")"
+
+
 PAIRS = f"""{ANN},
 pairs AS (SELECT d.image, d.cls, d.det, d.conf, g.gt, {sql_iou('d', 'g')} AS iou FROM det d JOIN gt g ON d.image = g.image AND d.cls = g.cls
   WHERE d.x1 < g.x2 AND g.x1 < d.x2 AND d.y1 < g.y2 AND g.y1 < d.y2),
@@ -213,6 +230,13 @@ WITH {FRAMES} SELECT track, frame, count(*) OVER w::INT AS length, first_value(c
     "line_count": f"""
 WITH {FRAMES}, s AS (SELECT *, lag(cx) OVER (PARTITION BY track ORDER BY frame) AS px FROM frames), m AS (SELECT * FROM s WHERE px IS NOT NULL AND (px - 50) * (cx - 50) <= 0 QUALIFY row_number() OVER (PARTITION BY track ORDER BY frame) = 1)
 SELECT stream, cls, sum((cx > px)::INT)::BIGINT AS n_in, sum((NOT cx > px)::INT)::BIGINT AS n_out FROM m GROUP BY 1, 2""",
+    "polygon_count": f"""
+WITH {FRAMES}, i AS (SELECT *, {_inside(ZONE)} AS inn FROM frames),
+s AS (SELECT *, lag(cx) OVER w AS px, lag(cy) OVER w AS py, lag(inn) OVER w AS was, list({{'x': cx, 'y': cy, 'i': inn}}) OVER (PARTITION BY track ORDER BY frame ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS five
+  FROM i WINDOW w AS (PARTITION BY track ORDER BY frame)),
+h AS (SELECT * FROM s WHERE px IS NOT NULL AND (inn OR (NOT was AND {_meets(ZONE)})) QUALIFY row_number() OVER (PARTITION BY track ORDER BY frame) = 1),
+b AS (SELECT *, coalesce(list_filter(five, lambda p: NOT p.i)[1], five[1]) AS o FROM h)
+SELECT stream, track, frame, CASE WHEN CASE WHEN abs(cx - o.x) > abs(cy - o.y) THEN cx > o.x ELSE cy > o.y END THEN 'IN' ELSE 'OUT' END AS direction FROM b""",
     "region_count": f"""
 WITH {FRAMES} SELECT stream, frame, 'zone' AS region, sum({ZONE_IN}::INT)::BIGINT AS n FROM frames GROUP BY 1, 2
 UNION ALL SELECT stream, frame, 'concave', sum({_inside(CONCAVE)}::INT)::BIGINT FROM frames GROUP BY 1, 2""",
