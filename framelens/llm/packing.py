@@ -157,6 +157,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
                 out.clear()
         for pieces in pool.windows(finish=True):
             place(pieces)
+        encode.rest()
         if out:
             yield _rows(out, names, types)
 

@@ -178,6 +178,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
                     ids.append(doc)
                     known.append(there)
                     counts.append(len(data) // ID_BYTES)
+        encode.rest()
         keys, number = np.array(ids, np.int64), np.array(counts, np.int64)
         fresh = np.r_[True, (keys[1:] != keys[:-1]) | np.diff(np.array(known, np.int8)).astype(bool)]
         place = np.arange(len(keys))

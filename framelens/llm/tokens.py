@@ -48,7 +48,7 @@ def _packed(ids: list[int]) -> bytes:
 class PieceEncoder:
     """Token ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, max_pieces: int = 400_000, max_chars: int = 16_000_000) -> None:
+    def __init__(self, path: str, max_pieces: int = 200_000, max_chars: int = 8_000_000) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.max_pieces, self.max_chars = max_pieces, max_chars
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -94,6 +94,10 @@ class PieceEncoder:
             self.older, self.memory, self.parts, self.chars = self.memory, {}, {}, 0
         return self.memory
 
+    def rest(self) -> None:
+        """Gives up the older memory, so that a worker that waits holds little."""
+        self.older = {}
+
     def _learn(self, piece: str) -> bytes:
         """Puts the ids of an inner piece into the memory; one that is empty or ends in white space has none."""
         ids = self.older.get(piece)
