@@ -1,7 +1,7 @@
 """Document fingerprints: a homomorphic multiset hash over paragraphs.
 
-A text is the multiset of its paragraphs: it is cut after line breaks, and lines are cut after the end of a sentence
-or a table cell, with nothing left out. Each part is hashed into a wide vector and the vectors are added, every lane
+A text is the multiset of its paragraphs: it is cut after line breaks, and since many texts are a single line, lines are
+cut after the end of a sentence or a table cell and after five words, with nothing left out. Each part is hashed into a wide vector and the vectors are added, every lane
 modulo a power of two, so the order of the parts doesn't matter and parts can be inserted or deleted later by adding
 or subtracting their vectors. A vector has
 
@@ -22,15 +22,16 @@ from .common import order_id, ranged, stored, text_of
 
 EXACT = 16
 SKETCH = 128
-#: A part ends after a line break, a sentence end or a cell mark with the white space behind it.
-PART_END = r"(?<=\n)|(?<=[.!?|;] )"
+#: A part: up to five words with the white-space character behind each. It ends early after a line break, a sentence end
+#: or a cell mark.
+PART = r"(?:\S*[^\s.!?|;][^\S\n]){0,4}\S*\s?"
 LANE = 0xFFFF
 EACH_HALF = 0x0000000100000001
 
 
 def parts_of(text: Column) -> Column:
     """The parts of a text in order; together they are the text. The empty text has none."""
-    return F.when(F.length(text) > 0, F.filter(F.split(text, PART_END, -1), lambda p: F.length(p) > 0)).otherwise(F.array().cast("array<string>"))
+    return F.filter(F.regexp_extract_all(text, F.lit(PART), F.lit(0)), lambda p: F.length(p) > 0)
 
 
 def _lane_sums(part: Column) -> list[Column]:
