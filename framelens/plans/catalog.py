@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from framelens.functions import boxes as bx
 from framelens.functions import vectors
 from framelens.functions.strings import clean_name
-from framelens.operators import augment, curves, etl, matching, metrics, reports, search, suppression, trajectories
+from framelens.operators import augment, curves, etl, manifest, matching, metrics, multiview, reports, search, suppression, trajectories
 from framelens.sources.coco import read_labels_json
 from framelens.streaming.tracker import track_batch
 
@@ -397,3 +397,94 @@ def clean_names(spark, sf):
 def track_assign(spark, sf):
     rows = annotations(spark, sf).withColumn("stream", F.col("image") % 8).withColumnRenamed("image", "frame").withColumnRenamed("i", "idx")
     return track_batch(rows.select("stream", "frame", "idx", "cls", "conf", "x1", "y1", "x2", "y2"))
+
+
+@query
+def area_buckets(spark, sf):
+    return annotations(spark, sf).groupBy("cls", manifest.area_bucket(bx.box().area).alias("bucket")).agg(F.count("*").alias("n"))
+
+
+@query
+def score_bands(spark, sf):
+    band = etl.score_band(F.col("conf"), F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    return annotations(spark, sf).groupBy(F.coalesce(band, F.lit("none")).alias("band")).agg(F.count("*").alias("n"))
+
+
+@query
+def keep_classes(spark, sf):
+    return etl.keep_classes(annotations(spark, sf), ["A", "N"]).groupBy("cls").agg(F.count("*").alias("n"))
+
+
+def _points(spark, sf):
+    return table(spark, sf, "events").select(F.col("value").alias("wx"), ((F.col("event_id") * 37) % 200).cast("double").alias("wy"), (F.col("user_id") % 50).cast("double").alias("wz"))
+
+
+@query
+def voxel_counts(spark, sf):
+    return multiview.voxelize(_points(spark, sf), 20.0).groupBy("gx", "gy", "gz").agg(F.count("*").alias("n"))
+
+
+@query
+def voxel_neighbours(spark, sf):
+    return multiview.neighbour_counts(multiview.voxelize(_points(spark, sf), 20.0))
+
+
+def _masks(spark, sf, odd):
+    rows = table(spark, sf, "lineitem").where(F.col("l_linenumber") % 2 == odd)
+    return rows.select((F.col("l_orderkey") % 500).alias("image"), F.col("l_linenumber").cast("long").alias("mask"), (F.col("l_partkey") % 60).alias("pixel")).distinct()
+
+
+@query
+def mask_iou(spark, sf):
+    return matching.mask_iou(_masks(spark, sf, 1), _masks(spark, sf, 0)).select("image", "left_mask", "right_mask", six("iou"))
+
+
+@query
+def mask_boxes(spark, sf):
+    pixels = table(spark, sf, "lineitem").select((F.col("l_orderkey") % 500).alias("image"), F.col("l_linenumber").alias("mask"), (F.col("l_partkey") % 60).alias("u"), (F.col("l_suppkey") % 40).alias("v"))
+    return manifest.mask_boxes(pixels, ["image", "mask"])
+
+
+@query
+def pixel_shares(spark, sf):
+    return manifest.pixel_shares(table(spark, sf, "lineitem"), "l_linestatus", "l_returnflag").select(F.col("l_linestatus").alias("image"), F.col("l_returnflag").alias("cls"), "n", six("share"))
+
+
+@query
+def metric_means(spark, sf):
+    runs = table(spark, sf, "events").select((F.col("user_id") % 5).alias("dataset"), F.col("event_type").alias("metric"), "value")
+    return reports.metric_means(runs, ["dataset"]).select("dataset", "metric", six("mean"))
+
+
+@query
+def mosaic_boxes(spark, sf):
+    rows = annotations(spark, sf)
+    quarter = F.col("o_orderkey") % 4
+    layout = table(spark, sf, "orders").select(F.col("o_orderkey").alias("image"), F.floor(F.col("o_orderkey") / 4).alias("mosaic"), ((quarter % 2) * 40).cast("double").alias("dx"), (F.floor(quarter / 2) * 40).cast("double").alias("dy"), F.lit(1.0).alias("gain"))
+    return augment.mosaic(rows, layout, 40.0).select("mosaic", "image", "i", "x1", "y1", "x2", "y2")
+
+
+@query
+def paste_candidates(spark, sf):
+    return augment.paste_candidates(detections(spark, sf).withColumnRenamed("det", "candidate"), ground_truth(spark, sf), 0.5).select("image", "candidate", six("covered"))
+
+
+@query
+def nearly_same_dropped(spark, sf):
+    """Loose detections that no strict one overlaps by more than the limit."""
+    rows = annotations(spark, sf)
+    loose, strict = rows.where("conf > 0.1"), rows.where("conf > 0.7")
+    hit = matching.rows_with_box_overlap(loose, strict, 0.6)
+    return matching.unmatched(loose, hit, ["image", "i"]).select("image", "i")
+
+
+@query
+def vocabulary_numbers(spark, sf):
+    return manifest.merge_vocabularies(table(spark, sf, "part"), "p_brand", "p_type")
+
+
+@query
+def letterbox_gain(spark, sf):
+    w, h = (F.col("p_size") * 10 + 5).cast("double"), (F.col("p_partkey") % 37 * 10 + 8).cast("double")
+    gain, px, py = bx.letterbox(w, h, F.lit(640.0), F.lit(480.0))
+    return table(spark, sf, "part").select("p_partkey", F.round(gain, 6).alias("gain"), px.alias("pad_x"), py.alias("pad_y"))

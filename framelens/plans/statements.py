@@ -81,6 +81,9 @@ whole AS (SELECT max(r) AS r, max(cost) AS cost FROM paid WHERE cost <= (SELECT
 turn AS (SELECT room.*, whole.r AS r, CASE WHEN room > whole.r AND sum(CASE WHEN room > whole.r THEN 1 ELSE 0 END) OVER (ORDER BY n DESC, signature) <= abs(rest) - whole.cost THEN 1 ELSE 0 END AS extra FROM room, whole),
 taken AS (SELECT signature, n, (b + sign(rest) * (least(room, r) + extra))::BIGINT AS take FROM turn)"""
 
+VOXELS = """WITH p AS (SELECT floor(value / 20.0::DOUBLE)::BIGINT AS a, floor((event_id * 37) % 200 / 20.0::DOUBLE)::BIGINT AS b, floor(user_id % 50 / 20.0::DOUBLE)::BIGINT AS c FROM events),
+v AS (SELECT a - (SELECT min(a) FROM p) AS gx, b - (SELECT min(b) FROM p) AS gy, c - (SELECT min(c) FROM p) AS gz FROM p)"""
+
 ORACLE_SQL: dict[str, str] = {
     "dataset_stats_category": """
 SELECT l_returnflag AS category, count(*) AS instances, count(DISTINCT l_orderkey) AS images,
@@ -278,4 +281,33 @@ y AS (SELECT DISTINCT x.*, CASE WHEN i > 0 AND i * 824 + 1024 > height THEN heig
 s AS (SELECT *, (least(tx1 + 1024, width) - tx1) * (least(ty1 + 1024, height) - ty1) / 1048576.0::DOUBLE AS shown FROM y), b AS (SELECT *, max(shown) OVER (PARTITION BY p_partkey) AS best FROM s)
 SELECT p_partkey, width, height, tx1, ty1, tx1 + 1024 AS tx2, ty1 + 1024 AS ty2 FROM b WHERE shown > 0.6 OR (best <= 0.6 AND shown = best)""",
     "clean_names": "SELECT p_partkey, regexp_replace(p_name || '#(+)', '[|@#!¡·$€%&()=?¿^*;:,¨´><+]', '_', 'g') AS name FROM part",
+    "area_buckets": f"""
+WITH {ANN}, a AS (SELECT cls, (x2 - x1) * (y2 - y1) AS area FROM ann)
+SELECT cls, CASE WHEN area < 1024 THEN 'small' WHEN area < 9216 THEN 'medium' ELSE 'large' END AS bucket, count(*) AS n FROM a GROUP BY 1, 2""",
+    "score_bands": f"WITH {ANN} SELECT CASE WHEN conf >= 0.25 THEN 'high' WHEN conf > 0.1 THEN 'low' ELSE 'none' END AS band, count(*) AS n FROM ann GROUP BY 1",
+    "keep_classes": "SELECT l_returnflag AS cls, count(*) AS n FROM lineitem WHERE l_returnflag IN ('A', 'N') GROUP BY 1",
+    "voxel_counts": f"{VOXELS} SELECT gx, gy, gz, count(*) AS n FROM v GROUP BY 1, 2, 3",
+    "voxel_neighbours": f"""{VOXELS}, c AS (SELECT DISTINCT gx, gy, gz FROM v)
+SELECT a.gx, a.gy, a.gz, count(b.gx) AS n FROM c a LEFT JOIN c b ON abs(a.gx - b.gx) <= 1 AND abs(a.gy - b.gy) <= 1 AND abs(a.gz - b.gz) <= 1 AND (a.gx <> b.gx OR a.gy <> b.gy OR a.gz <> b.gz) GROUP BY 1, 2, 3""",
+    "mask_iou": """
+WITH m AS (SELECT DISTINCT l_orderkey % 500 AS image, l_linenumber::BIGINT AS mask, l_partkey % 60 AS pixel FROM lineitem), s AS (SELECT image, mask, count(*) AS n FROM m GROUP BY 1, 2),
+x AS (SELECT a.image, a.mask AS left_mask, b.mask AS right_mask, count(*) AS k FROM m a JOIN m b ON a.image = b.image AND a.pixel = b.pixel AND a.mask % 2 = 1 AND b.mask % 2 = 0 GROUP BY 1, 2, 3)
+SELECT x.image, left_mask, right_mask, round(k / (p.n + q.n - k + 1e-7::DOUBLE), 6) AS iou FROM x JOIN s p ON p.image = x.image AND p.mask = left_mask JOIN s q ON q.image = x.image AND q.mask = right_mask""",
+    "mask_boxes": "SELECT l_orderkey % 500 AS image, l_linenumber AS mask, min(l_partkey % 60) AS x1, min(l_suppkey % 40) AS y1, max(l_partkey % 60) AS x2, max(l_suppkey % 40) AS y2 FROM lineitem GROUP BY 1, 2",
+    "pixel_shares": "SELECT l_linestatus AS image, l_returnflag AS cls, count(*) AS n, round(count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY l_linestatus), 6) AS share FROM lineitem GROUP BY 1, 2",
+    "metric_means": "SELECT user_id % 5 AS dataset, event_type AS metric, round(avg(value), 6) AS mean FROM events GROUP BY 1, 2",
+    "mosaic_boxes": f"""
+WITH {ANN}, p AS (SELECT o_orderkey // 4 AS mosaic, image, i, x1 + (o_orderkey % 4 % 2) * 40 AS x1, y1 + (o_orderkey % 4 // 2) * 40 AS y1, x2 + (o_orderkey % 4 % 2) * 40 AS x2, y2 + (o_orderkey % 4 // 2) * 40 AS y2 FROM ann JOIN orders ON o_orderkey = image),
+c AS (SELECT mosaic, image, i, least(greatest(x1, 0), 80) AS x1, least(greatest(y1, 0), 80) AS y1, least(greatest(x2, 0), 80) AS x2, least(greatest(y2, 0), 80) AS y2 FROM p)
+SELECT * FROM c WHERE x2 > x1 AND y2 > y1""",
+    "paste_candidates": f"""
+WITH {ANN}, c AS (SELECT d.image, d.det AS candidate, coalesce(max({sql_inter('g', 'd')} / ({sql_area('d')} + 1e-7::DOUBLE)), 0) AS covered FROM det d LEFT JOIN gt g ON d.image = g.image GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY image ORDER BY covered, candidate) AS r, count(*) OVER (PARTITION BY image) AS n FROM c WHERE covered < 0.3)
+SELECT image, candidate, round(covered, 6) AS covered FROM r WHERE r <= round_even(n * 0.5::DOUBLE, 0)""",
+    "nearly_same_dropped": f"""
+WITH {ANN} SELECT image, i FROM ann a WHERE conf > 0.1 AND NOT EXISTS (SELECT 1 FROM ann b WHERE a.image = b.image AND b.conf > 0.7 AND {sql_iou('a', 'b')} > 0.6)""",
+    "vocabulary_numbers": "SELECT p_brand, p_type, (row_number() OVER (PARTITION BY p_brand ORDER BY p_type) - 1)::INT AS number FROM (SELECT DISTINCT p_brand, p_type FROM part)",
+    "letterbox_gain": """
+WITH s AS (SELECT p_partkey, (p_size * 10 + 5)::DOUBLE AS w, (p_partkey % 37 * 10 + 8)::DOUBLE AS h FROM part), g AS (SELECT *, least(480 / h, 640 / w) AS gain FROM s)
+SELECT p_partkey, round(gain, 6) AS gain, round_even((640 - round_even(w * gain, 0)) / 2 - 0.1::DOUBLE, 0) AS pad_x, round_even((480 - round_even(h * gain, 0)) / 2 - 0.1::DOUBLE, 0) AS pad_y FROM g""",
 }
