@@ -61,6 +61,21 @@ def drop_stored(df: DataFrame) -> None:
     _file_system(df.sparkSession, path).delete(df.sparkSession._jvm.org.apache.hadoop.fs.Path(path), True)
 
 
+#: Rows in an Arrow batch of whole texts, where the session has Spark's default of ten thousand.
+BATCH_KEY, DEFAULT_ROWS, TEXT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+
+
+def in_text_batches(df: DataFrame) -> DataFrame:
+    """``df``, after making Arrow batches of the session small enough for rows that are whole texts.
+
+    A batch stands in the JVM and in Python at once, so its size is most of what a task of these operators holds.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_KEY, DEFAULT_ROWS) == DEFAULT_ROWS:
+        conf.set(BATCH_KEY, TEXT_ROWS)
+    return df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

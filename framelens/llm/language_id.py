@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import in_text_batches, stored
 
 BUCKETS = 1 << 13
 #: Characters that all trigrams together count for at most; what is above is tempered away.
@@ -112,7 +112,7 @@ def page_evidence(pages: DataFrame, langs: list[str], model: np.ndarray, url_col
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.string()) for c in (hosts, suffixes, declared)), pa.array(scores, pa.list_(pa.float64()))], names=[id_col, "host", "suffix", "declared", "text_posterior"])
 
     schema = source.select(id_col).withColumns({"host": F.lit(None).cast("string"), "suffix": F.lit(None).cast("string"), "declared": F.lit(None).cast("string"), "text_posterior": F.array(F.lit(0.0))}).schema
-    return source.mapInArrow(read, schema)
+    return in_text_batches(source).mapInArrow(read, schema)
 
 
 def _sums(table: DataFrame, key: str, n: int) -> DataFrame:

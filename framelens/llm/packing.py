@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import in_text_batches
 from .tokens import ID_BYTES, encoder
 
 #: Sequence numbers of a split start at its number times this.
@@ -161,7 +162,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
         if out:
             yield _rows(out, names, types)
 
-    return source.mapInArrow(pack, schema)
+    return in_text_batches(source).mapInArrow(pack, schema)
 
 
 def _rows(out: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:

@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import in_text_batches
+
 FEATURES = ("log_words", "mean_word", "long_words", "symbol_rate", "pipe_words", "shout_words", "bang_rate", "digit_rate", "punct_rate", "distinct_rate", "top_word_rate", "repeat_pairs", "line_words", "dup_lines", "upper_rate", "capital_words", "non_ascii", "deflated")
 _SYMBOL = re.compile(rb"[#*$%&|<>]")
 _PUNCT = re.compile(rb"[.,;:?]")
@@ -170,7 +172,7 @@ def text_features(docs: DataFrame, text_col: str, carry: list[str]) -> DataFrame
             found = [features(t or "") for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.list_(pa.float64()))], names=[*carry, "features"])
 
-    return source.mapInArrow(compute, T.StructType([source.schema[c] for c in carry] + [T.StructField("features", T.ArrayType(T.DoubleType()))]))
+    return in_text_batches(source).mapInArrow(compute, T.StructType([source.schema[c] for c in carry] + [T.StructField("features", T.ArrayType(T.DoubleType()))]))
 
 
 def fit_quality_model(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = 12_000, id_col: str = "doc_id", text_col: str = "text") -> GamModel:
@@ -205,4 +207,4 @@ def score_quality(docs: DataFrame, model: GamModel, text_col: str = "text", carr
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64()), pa.array((scores >= 0.5).astype(np.int32), pa.int32())], names=[*names, "score", "predicted"])
 
     fields = [source.schema[c] for c in names] + [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
-    return source.mapInArrow(score, T.StructType(fields))
+    return in_text_batches(source).mapInArrow(score, T.StructType(fields))

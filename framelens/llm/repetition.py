@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import in_text_batches
+
 #: Fixed values of the base rules.
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 BASE_WINDOW = 5
@@ -175,4 +177,4 @@ def repetition_report(docs: DataFrame, text_col: str = "text", into: str = "repe
                 yield pa.RecordBatch.from_arrays([*(c.slice(at, len(texts)) for c in batch.columns[:-1]), found], names=[*names, into])
                 at += len(texts)
 
-    return source.mapInArrow(analyse, schema)
+    return in_text_batches(source).mapInArrow(analyse, schema)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, text_of
+from .common import in_text_batches, stored, text_of
 from .components import connected_components
 
 SEED = 42
@@ -74,7 +74,7 @@ def simhash(docs: DataFrame, text_col: str = "text", into: str = "fp", shingle:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], names=[*names, into])
 
     kept = source.select(*names).withColumn(into, F.lit(0).cast("long"))
-    return source.mapInArrow(encode, kept.schema)
+    return in_text_batches(source).mapInArrow(encode, kept.schema)
 
 
 class BKTree:

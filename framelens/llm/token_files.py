@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import order_id, scratch_path, shuffle_partitions, stored, text_of
+from .common import in_text_batches, order_id, scratch_path, shuffle_partitions, stored, text_of
 from .tokens import ID_BYTES, encoder
 
 MAGIC = b"FLIDS1"
@@ -188,7 +188,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
         row = (shard, ids[0], ids[-1], len(ids), int(number.sum()), f"{folder}/{name}.ids", f"{folder}/{name}.idx")
         yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int32(), *[pa.int64()] * 4, pa.string(), pa.string()))], names=[f.split()[0] for f in MANIFEST.split(", ")])
 
-    return stored(dealt.mapInArrow(write, MANIFEST), "manifest")
+    return stored(in_text_batches(dealt).mapInArrow(write, MANIFEST), "manifest")
 
 
 def read_token_files(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:
