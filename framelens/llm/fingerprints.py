@@ -53,6 +53,15 @@ def _lanes(sums: list[Column]) -> Column:
     return F.array(*[x.bitwiseAND(F.lit(LANE)).cast("int") for x in (*sums[: 1 + EXACT], *halves)])
 
 
+def _narrow(lanes: Column) -> Column:
+    """Lanes as signed 16-bit numbers, half the size in a shuffle."""
+    return F.transform(lanes, lambda x: (x.bitwiseXOR(F.lit(0x8000)) - 0x8000).cast("short"))
+
+
+def _widen(lanes: Column) -> Column:
+    return F.transform(lanes, lambda x: x.cast("int").bitwiseAND(F.lit(LANE)))
+
+
 def fingerprint_texts(texts: DataFrame, keys: list[str], text_col: str = "text", into: str = "lanes") -> DataFrame:
     """``keys`` and the vector (array of integers) of the multiset of all parts of the rows with these keys."""
     rows = texts.select(*keys, F.explode_outer(parts_of(text_of(text_col))).alias("_part"))
@@ -140,9 +149,11 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sums = parts.groupBy(*KEY, "_sha", "_v").agg(*[c.alias(n) for n, c in zip(names, _lane_sums(F.col("_part")))])
     vectors = sums.select(*KEY, "_sha", "_v", _lanes([F.col(n) for n in names]).alias("_lanes"))
     of_version = lambda v: F.first(F.when(F.col("_v") == v, F.col("_lanes")), ignorenulls=True)
-    own = stored(vectors.groupBy(*KEY, "_sha").agg(of_version(0).alias("_own"), of_version(1).alias("_new")).join(order, KEY), "vectors")
+    pairs = vectors.withColumn("_lanes", _narrow(F.col("_lanes"))).groupBy(*KEY, "_sha").agg(of_version(0).alias("_own"), of_version(1).alias("_new"))
+    own = stored(pairs.join(order, KEY), "vectors")
     after = own.select(*[F.col(k).alias(f"_at{k}") for k in KEY], F.col("_own").alias("_following"))
     linked = own.join(after, [F.col("_next")[k] == F.col(f"_at{k}") for k in KEY])
+    linked = linked.withColumns({c: _widen(F.col(c)) for c in ("_own", "_new", "_following")})
     each = linked.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
     return each.select(
         F.when(F.col("_known"), F.col("_id")).alias(id_col),
