@@ -24,7 +24,7 @@ from .common import order_id, shuffle_partitions, text_of
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 
-CHARS_IN_GROUP = 8 << 20
+CHARS_IN_GROUP = 5 << 20
 CHARS_IN_RANGE = 12 << 20
 RANGE_BITS = 16
 
@@ -101,6 +101,7 @@ def _hash_group(table: pa.Table, width: int, ranges: int) -> pa.Table:
     """What a group sends: hashes of the smallest document's windows by range, and the starts that are known to go."""
     group, number = Group(table, width), table["_group"][0].as_py()
     places, hashes = group.windows()
+    group.words = []
     order = np.argsort(hashes, kind="stable")
     ordered = hashes[order]
     head = np.r_[True, ordered[1:] != ordered[:-1]] if len(order) else np.zeros(0, bool)
