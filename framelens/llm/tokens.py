@@ -48,7 +48,7 @@ def _packed(ids: list[int]) -> bytes:
 class PieceEncoder:
     """Token ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, max_pieces: int = 200_000, max_chars: int = 8_000_000) -> None:
+    def __init__(self, path: str, max_pieces: int = 300_000, max_chars: int = 12_000_000) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.max_pieces, self.max_chars = max_pieces, max_chars
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
