@@ -13,6 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from framelens.llm import near_copies as near
 from framelens.llm.components import connected_components
 from framelens.llm.near_copies import drop_near_duplicates, near_copies, shard_groups, shingle_hashes, sketch
 from framelens.llm.repetition import longest_repeats, repetition_report
@@ -292,6 +293,38 @@ def test_groups_of_a_shard(n):
     assert [links.get(i, i) for i in range(n)] == label
 
 
+def test_pairs_of_an_oversized_shard_meet(spark):
+    """Texts whose bands are all those of one template; each has one near copy, which no shard may hold with all others."""
+    rng = random.Random(3)
+    template = [f"t{i}" for i in range(300)]
+    keys = sketch(" ".join(template), 5)[2]
+    factor, shift = near._FACTOR[: near.BANDS * near.ROWS], near._SHIFT[: near.BANDS * near.ROWS]
+
+    def ranks(text):
+        hashes = shingle_hashes(text, 5)
+        return (hashes ^ (hashes >> np.uint64(32))).astype(np.uint32)[:, None] * factor + shift
+
+    least = ranks(" ".join(template)).min(axis=0)
+
+    def grown(words, n):
+        """With n words more that leave the bands as they are."""
+        for _ in range(n):
+            more = [*words, f"o{rng.randint(0, 10**9)}"]
+            while (ranks(" ".join(more[-5:])) < least).any():
+                more[-1] = f"o{rng.randint(0, 10**9)}"
+            words = more
+        return words
+
+    rows = []
+    for pair in range(20):
+        shared = grown(template, 75)
+        rows += [(2 * pair + i, " ".join(grown(shared, 25))) for i in range(2)]
+    assert all(sketch(t, 5)[2] == keys for _, t in rows)
+    found = {r.doc_id: r.root for r in near_copies(spark.createDataFrame(rows, "doc_id long, text string"), shard_limit=2).collect()}
+    assert all(found[2 * p] == found[2 * p + 1] for p in range(20))
+    assert len(set(found.values())) == 20
+
+
 # Substring dedup
 
 
