@@ -325,6 +325,21 @@ def test_pairs_of_an_oversized_shard_meet(spark):
     assert len(set(found.values())) == 20
 
 
+def test_repeated_phrases_do_not_part_copies(spark):
+    """Texts that differ in how often phrases repeat, most of whose SimHashes with repeats are far apart."""
+    rows = []
+    for pair in range(15):
+        plain = [f"r{pair}x{i}" for i in range(150)]
+        phrases = [[f"h{pair}x{p}x{i}" for i in range(5)] for p in range(3)]
+        rows.append((2 * pair, " ".join(plain + [w for p in phrases for w in p])))
+        rows.append((2 * pair + 1, " ".join(plain + [w for p in phrases for w in p * 40])))
+    assert all(jaccard(rows[i][1], rows[i + 1][1]) > 0.85 for i in range(0, 30, 2))
+    far = [(fingerprint(rows[i][1], 5) ^ fingerprint(rows[i + 1][1], 5)).bit_count() for i in range(0, 30, 2)]
+    assert max(far) > 20
+    found = {r.doc_id: r.root for r in near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(found[i] == found[i + 1] for i in range(0, 30, 2)) and len(set(found.values())) == 15
+
+
 # Substring dedup
 
 
