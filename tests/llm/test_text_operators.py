@@ -340,6 +340,20 @@ def test_repeated_phrases_do_not_part_copies(spark):
     assert all(found[i] == found[i + 1] for i in range(0, 30, 2)) and len(set(found.values())) == 15
 
 
+def test_copies_below_the_limit_stay(spark):
+    """Pairs just below and just above the limit, where estimates err: the exact similarity decides."""
+    rows = []
+    for pair in range(60):
+        n = 400
+        cut = 41 if pair % 2 else 47
+        words = [f"b{pair}x{i}" for i in range(n)]
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(words[: n - cut] + [f"c{pair}x{i}" for i in range(cut)]))]
+    found = {r.doc_id: r.root for r in near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in range(0, len(rows), 2):
+        assert (jaccard(rows[i][1], rows[i + 1][1]) >= 0.8) == (found[i] == found[i + 1])
+    assert {jaccard(rows[i][1], rows[i + 1][1]) >= 0.8 for i in range(0, len(rows), 2)} == {True, False}
+
+
 # Substring dedup
 
 
