@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,10 +24,13 @@ _own_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where that setting is unset."""
+    """The folder of ``spark.checkpoint.dir``. Without that setting a local session has a temporary one; a cluster has
+    none that its executors share, so there this raises an error."""
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="framelens-")
@@ -61,19 +65,17 @@ def drop_stored(df: DataFrame) -> None:
     _file_system(df.sparkSession, path).delete(df.sparkSession._jvm.org.apache.hadoop.fs.Path(path), True)
 
 
-#: Rows in an Arrow batch of whole texts, where the session has Spark's default of ten thousand.
-BATCH_KEY, DEFAULT_ROWS, TEXT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, or that with underscores behind it, so that ``df`` has no such column in any case."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
 
 
-def in_text_batches(df: DataFrame) -> DataFrame:
-    """``df``, after making Arrow batches of the session small enough for rows that are whole texts.
-
-    A batch stands in the JVM and in Python at once, so its size is most of what a task of these operators holds.
-    """
-    conf = df.sparkSession.conf
-    if conf.get(BATCH_KEY, DEFAULT_ROWS) == DEFAULT_ROWS:
-        conf.set(BATCH_KEY, TEXT_ROWS)
-    return df
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once for a row: lambdas would compute it again for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

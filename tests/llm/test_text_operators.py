@@ -6,7 +6,9 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -14,6 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from framelens.llm import near_copies as near
+from framelens.llm.common import shared_dir
 from framelens.llm.components import connected_components
 from framelens.llm.near_copies import drop_near_duplicates, near_copies, shard_groups, shingle_hashes, sketch
 from framelens.llm.repetition import longest_repeats, repetition_report
@@ -26,6 +29,13 @@ def split(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
 
 
+def test_a_cluster_needs_a_shared_folder():
+    conf = SimpleNamespace(get=lambda *_: None)
+    session = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getConf=lambda: conf, master="spark://host:7077", applicationId="a"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session)
+
+
 # Repetition
 
 
@@ -141,7 +151,7 @@ def test_entropy_spans_against_windows(spark):
         want = set()
         for cls in ENTROPY_CLASSES:
             for m in re.finditer(cls.pattern, r.text):
-                if re.search(cls.needs, m[0]) and not any(re.search(a, m[0]) for a in ALLOW) and (span := entropy_span(m[0], cls)):
+                if all(re.search(n, m[0]) for n in cls.needs) and not any(re.search(a, m[0]) for a in ALLOW) and (span := entropy_span(m[0], cls)):
                     want.add((m.start() + span[0], m.start() + span[1], cls.kind))
         assert {(s.start, s.end, s.kind) for s in r.secrets.spans if s.kind.startswith("entropy")} == want
     assert any(s.kind == "entropy_base64" for r in rows for s in r.secrets.spans)
@@ -155,6 +165,41 @@ def test_redaction_and_edge_cases(spark, odd, none):
     assert scan_secrets(none).count() == 0
 
 
+def test_long_texts_are_scanned_in_linear_time(spark):
+    """A value of very many hyphenated words overflowed the stack, and a long run took the square of its length."""
+    rng = random.Random(12)
+    letters = "".join(c.alphabet for c in ENTROPY_CLASSES[:2])
+    run = "".join(rng.choice(letters + letters.lower()) for _ in range(1 << 20))
+    texts = ["aB-" * 200_000 + "1", run, "token" + " " * 300_000 + "x", "g1" * 300_000, "password=hunter2222 and " * 20_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    began = time.time()
+    rows = {r.doc_id: r for r in scan_secrets(df).select("doc_id", span_text("secrets.spans").alias("s"), F.sha2(redact(F.col("text"), F.col("secrets.spans")), 256).alias("t")).collect()}
+    assert time.time() - began < 120
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert [rows[i].s for i in range(4)] == ["", f"entropy_base64:0:{1 << 20}", "", ""]
+    assert [rows[i].t for i in range(4)] == [digest(t) for t in (texts[0], "[SECRET]", *texts[2:4])]
+    assert rows[4].s == base_spans(texts[4]) and rows[4].t == digest("[SECRET] and " * 20_000)
+
+
+def test_redaction_against_brute_force(spark):
+    """Spans across the blocks in which texts are cut and places added up."""
+    rng = random.Random(13)
+    rows = []
+    for i in range(30):
+        text = "".join(rng.choice("ab é😀\n") for _ in range(rng.choice((0, 1, 4095, 4096, 4097, 12_000))))
+        ends = sorted(rng.randint(0, len(text)) for _ in range(2 * rng.choice((1, 5, 700))))
+        spans = sorted((a, min(len(text), b + rng.choice((0, 0, 3)))) for a, b in zip(ends[::2], ends[1::2]) if a < b)
+        rows.append((i, text, [(a, b, "x", 0) for a, b in spans]))
+    df = spark.createDataFrame(rows, "i int, text string, spans array<struct<start:int,end:int,kind:string,rank:int>>")
+    got = {r.i: r.t for r in df.select("i", redact(F.col("text"), F.col("spans")).alias("t")).collect()}
+    for i, text, spans in rows:
+        out, at = "", -1
+        for a, b, *_ in spans:
+            out += "" if a <= at else text[max(at, 0) : a] + "[SECRET]"
+            at = max(at, b)
+        assert got[i] == out + text[max(at, 0) :]
+
+
 # SimHash
 
 
