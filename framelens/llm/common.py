@@ -78,6 +78,22 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def sample_cut(keys: DataFrame, hash_col: str, most: int) -> int | None:
+    """The largest of the ``most`` smallest distinct values of a column of 64-bit hashes; null without values.
+
+    Only values under a bound that leaves a few more than wanted are sorted, so what meets in a task depends on ``most``
+    and not on the number of rows or splits.
+    """
+    n = keys.agg(F.approx_count_distinct(hash_col)).first()[0]
+    share = 1.25 * most / n if n else 1.0
+    while True:
+        low = keys.where(F.col(hash_col) < F.lit(int(share * 2**64) - 2**63)) if share < 1 else keys
+        found = low.select(hash_col).distinct().orderBy(hash_col).limit(most).agg(F.count("*").alias("n"), F.max(hash_col).alias("cut")).first()
+        if share >= 1 or found["n"] == most:
+            return found["cut"]
+        share *= 2
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -16,14 +16,14 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import sample_cut, stored
 
 BUCKETS = 1 << 13
 #: Characters that all trigrams together count for at most; what is above is tempered away.
@@ -31,19 +31,58 @@ TEMPER = 60.0
 #: Pseudo-counts: of the parent's prior in a child, and of every cell of the declaration table.
 SHRINK, CELL = 4.0, 0.5
 
-_DROP = re.compile(r"(?is)<!--.*?-->|<(script|style|template|noscript)\b.*?</\1\s*>")
-_TAG = re.compile(r"(?s)<[^>]*>")
-_LANG = re.compile(r"""(?is)<html\b[^>]*?\slang\s*=\s*["']?([A-Za-z]{2,8})""")
+#: Elements whose content is not text, and how each ends.
+_DROP = re.compile(r"(?i)<!--|<(?:script|style|template|noscript)\b")
+_ENDS = {"<!--": re.compile("-->"), **{f"<{name}": re.compile(rf"(?i)</{name}\s*>") for name in ("script", "style", "template", "noscript")}}
+#: Numbers of characters: ``html.unescape`` takes no number of thousands of digits.
+_ZEROS, _LONG_NUMBER = re.compile("&#0+(?=[0-9])"), re.compile("&#[0-9]{8,};?")
+_HTML, _LANG = re.compile(r"(?i)<html\b"), re.compile(r"""(?i)\slang\s*=\s*["']?([A-Za-z]{2,8})""")
 _HOST = re.compile(r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)")
 
 
+def _without(page: str, opens: Callable[[int], tuple[int, int] | None]) -> str:
+    """The page with a space for each span that ``opens`` finds from a place on."""
+    out, at = [], 0
+    while span := opens(at):
+        out += [page[at : span[0]], " "]
+        at = span[1]
+    return "".join([*out, page[at:]])
+
+
 def visible_text(page: str) -> str:
-    """The text of a page without tags, scripts, styles and comments."""
-    return html.unescape(_TAG.sub(" ", _DROP.sub(" ", page)))
+    """The text of a page without tags, scripts, styles and comments, in time linear in its length.
+
+    An element that doesn't end is not left out, but its tag is; a ``<`` with no ``>`` behind it is text.
+    """
+    endless: set[str] = set()
+
+    def element(at: int) -> tuple[int, int] | None:
+        while start := _DROP.search(page, at):
+            kind = start[0].lower()
+            end = None if kind in endless else _ENDS[kind].search(page, start.end())
+            if end:
+                return start.start(), end.end()
+            endless.add(kind)
+            at = start.end()
+        return None
+
+    bare = _without(page, element)
+
+    def tag(at: int) -> tuple[int, int] | None:
+        start = bare.find("<", at)
+        end = bare.find(">", start) if start >= 0 else -1
+        return (start, end + 1) if end >= 0 else None
+
+    return html.unescape(_LONG_NUMBER.sub("\ufffd", _ZEROS.sub("&#", _without(bare, tag))))
 
 
 def declared_language(page: str) -> str | None:
-    found = _LANG.search(page)
+    """The main part of the language that the first html tag names."""
+    start = _HTML.search(page)
+    if not start:
+        return None
+    end = page.find(">", start.end())
+    found = _LANG.search(page, start.end(), end if end >= 0 else len(page))
     return found[1].lower() if found else None
 
 
@@ -66,27 +105,31 @@ def trigram_counts(text: str) -> np.ndarray:
 
 
 def fit_text_model(texts: DataFrame, max_rows: int = 4000, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> tuple[list[str], np.ndarray]:
-    """Languages and log-probabilities (language, bucket) from at most ``max_rows`` labelled rows.
+    """Languages and log-probabilities (language, bucket) from at most ``max_rows`` distinct labelled rows.
 
-    The rows are the first by a hash of the id; those without language or text are no labels. The model's size is the
-    number of languages in the sample times the buckets. No labels give no languages.
+    The rows are the first by a hash of id, language and text; those without language or text are no labels. Hashes
+    are cut first, so texts of the sample alone travel and are counted where they are. The model's size is the number
+    of languages in the sample times the buckets. No labels give no languages.
     """
-    rows = texts.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"), F.col(text_col).alias("text"))
-    sample = rows.orderBy("h").limit(max_rows).select("lang", "text")
+    rows = texts.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(F.col(lang_col).alias("lang"), F.xxhash64(id_col, lang_col, text_col).alias("h"), F.col(text_col).alias("text"))
+    cut = sample_cut(rows, "h", max_rows)
+    if cut is None:
+        return [], np.zeros((0, BUCKETS))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
         for batch in batches:
+            sums: dict[str, np.ndarray] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 sums[lang] = sums.get(lang, 0) + trigram_counts(text)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.int64()))], names=["lang", "counts"])
+            for lang, counts in sums.items():
+                there = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(there), pa.string()), pa.array(there, pa.int64()), pa.array(counts[there], pa.int64())], names=["lang", "bucket", "n"])
 
+    sample = rows.where(F.col("h") <= cut).dropDuplicates(["h"]).select("lang", "text")
     found: dict[str, np.ndarray] = {}
-    for row in sample.repartition(8).mapInArrow(count, "lang string, counts array<long>").collect():
-        found[row["lang"]] = found.get(row["lang"], 0) + np.array(row["counts"])
+    for row in sample.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect():
+        found.setdefault(row["lang"], np.zeros(BUCKETS, np.int64))[row["bucket"]] = row["n"]
     langs = sorted(found)
-    if not langs:
-        return [], np.zeros((0, BUCKETS))
     table = np.array([found[x] for x in langs], float) + 0.1
     return langs, np.log(table / table.sum(axis=1, keepdims=True))
 
@@ -126,7 +169,8 @@ def identify_languages(pages: DataFrame, labelled: DataFrame, max_rows: int = 40
     The text model is fitted on at most ``max_rows`` of ``labelled`` (doc_id, text, lang). A page without text is
     judged by its address and declaration alone; a null address or declaration gives no evidence of its kind. Ties go
     to the first language in alphabetical order. Repeated pages are judged alike, an empty table gives no rows, and
-    without any label ``lang`` is null.
+    without any label ``lang`` is null. Pages are read whole, in time linear in their length. Columns but the three
+    named are never read, whatever they are called.
     """
     langs, model = fit_text_model(labelled, max_rows)
     if not langs:

@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import sample_cut
+
 
 FEATURES = ("log_words", "mean_word", "long_words", "symbol_rate", "pipe_words", "shout_words", "bang_rate", "digit_rate", "punct_rate", "distinct_rate", "top_word_rate", "repeat_pairs", "line_words", "dup_lines", "upper_rate", "capital_words", "non_ascii", "deflated")
 _SYMBOL = re.compile(rb"[#*$%&|<>]")
@@ -175,16 +177,22 @@ def text_features(docs: DataFrame, text_col: str, carry: list[str]) -> DataFrame
 
 
 def fit_quality_model(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = 12_000, id_col: str = "doc_id", text_col: str = "text") -> GamModel:
-    """Fits on at most ``max_rows`` labelled rows that are not held out, the first by a hash of the id.
+    """Fits on at most ``max_rows`` labelled rows that are not held out, the first by a hash of id and label.
 
-    Rows without an id or a label of 0 or 1 are no labels; an id with several labels counts once for each.
+    Rows without an id or a label of 0 or 1 are no labels; an id with both labels counts once for each. Where rows of
+    ``docs`` repeat an id, one of them is learnt: the one whose text has the smallest hash. Without labels, or with
+    none that has a text, the model is constant. Columns but those named are never read.
     """
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
-    sample = usable.select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias("_y")).orderBy(F.xxhash64("_id", "_y")).limit(max_rows)
-    # Bounded by max_rows: two numbers a row.
-    texts = docs.select(F.col(id_col).alias("_key"), F.col(text_col).alias("_text"))
+    keyed = usable.select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias("_y")).withColumn("_h", F.xxhash64("_id", "_y"))
+    cut = sample_cut(keyed, "_h", max_rows)
+    # Bounded by max_rows: two numbers a row. Distinct (id, label) have distinct hashes, but for one in 2**64.
+    sample = keyed.where(F.lit(cut is not None) & (F.col("_h") <= F.lit(cut or 0))).dropDuplicates(["_h"]).select("_id", "_y")
+    texts = docs.select(F.col(id_col).alias("_key"), F.col(text_col).cast("string").alias("_text"))
     labelled = texts.join(F.broadcast(sample), F.col("_key") == F.col("_id")).select("_id", "_y", "_text")
-    rows = text_features(labelled, "_text", ["_id", "_y"]).orderBy("_id", "_y", "features").limit(2 * max_rows).collect()
+    found = text_features(labelled.withColumn("_text_hash", F.xxhash64("_text")), "_text", ["_id", "_y", "_text_hash"])
+    first = found.groupBy("_id", "_y").agg(F.min(F.struct("_text_hash", "features")).alias("f"))
+    rows = first.select("_id", "_y", "f.features").orderBy("_id", "_y").collect()  # at most max_rows
     x = np.array([r["features"] for r in rows], float).reshape(-1, len(FEATURES))
     return fit(x, np.array([r["_y"] for r in rows], float))
 

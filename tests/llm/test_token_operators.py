@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -284,7 +285,37 @@ def test_evidence_is_fused_as_bayes_says(spark):
         assert text[i] == pytest.approx(joint / joint.sum(), abs=1e-9)
 
 
+def test_text_model_counts_trigrams_of_the_sample(spark):
+    """All rows where they are few, else the first by hash, however often a row is repeated."""
+    rows = [(i, "".join(random.Random(i).choice("abcé 日X.") for _ in range(i % 50)), f"l{i % 3}") for i in range(300)]
+    df = spark.createDataFrame(rows * 2 + [(None, "x", None), (5, None, "l0")], "doc_id long, text string, lang string")
+    hashed = {(r.doc_id, r.lang): (r.h, r.text) for r in df.where("text <> '' and lang is not null").select("doc_id", "lang", "text", F.xxhash64("doc_id", "lang", "text").alias("h")).collect()}
+    for most in (4000, 40):
+        langs, model = language_id.fit_text_model(df, most)
+        table = {}
+        for (_, lang), (_, text) in sorted(hashed.items(), key=lambda x: x[1][0])[:most]:
+            plain = [c if c.isalpha() and (ord(c) > 127 or c.isascii()) else " " for c in f" {text.lower()} "]
+            plain = [c for i, c in enumerate(plain) if c != " " or not i or plain[i - 1] != " "]
+            row = table.setdefault(lang, np.full(language_id.BUCKETS, 0.1))
+            for a, b, c in zip(map(ord, plain), map(ord, plain[1:]), map(ord, plain[2:])):
+                h = (a * 0x9E3779B1 + b * 0x85EBCA77 + c * 0xC2B2AE3D) & 0xFFFFFFFF
+                h ^= h >> 15
+                row[(h * 0x2C1B3C6D >> 7) & (language_id.BUCKETS - 1)] += 1
+        assert langs == sorted(table)
+        assert np.allclose(model, [np.log(table[x] / table[x].sum()) for x in langs])
+
+
+@pytest.mark.parametrize("page", ["<script>" * 130_000, "<" * 1_000_000, "<html " * 170_000, "<!--" * 250_000, "<p>a</p>" * 120_000, "&#" + "9" * 1_000_000 + ";", "&#" + "0" * 1_000_000 + "65;", "<html lang" + " " * 1_000_000, "<script></script " * 60_000])
+def test_hostile_pages_are_read_in_linear_time(page):
+    began = time.time()
+    text = language_id.visible_text(page)
+    language_id.declared_language(page)
+    language_id.trigram_counts(text)
+    assert time.time() - began < 10
+
+
 def test_page_parts():
+    assert language_id.visible_text("a<script>x</SCRIPT >b<style>c<b>d &#65;&#0000000065;&#99999999999;<e") == "a b c d AA\ufffd<e"
     assert language_id.visible_text("<p>a&amp;b<script>var x='<p>'</script><!-- no --><b>c</b>").split() == ["a&b", "c"]
     assert language_id.declared_language("<HTML class=x LANG='de-AT'>") == "de"
     assert language_id.host_of("https://u:p@WWW.Example.org:80/a?b") == "www.example.org" and language_id.host_of("/a/b") is None
