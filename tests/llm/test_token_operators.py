@@ -21,7 +21,7 @@ from framelens.llm.fingerprints import add, digest, edited_fingerprints, fingerp
 from framelens.llm.mixing import mix, mixing_plan, solve_exponent
 from framelens.llm.packing import best_fill, pack_documents
 from framelens.llm.queries import QUERIES, tokenizer_path
-from framelens.llm.token_files import PerfectHash, open_document, read_token_files, write_token_files
+from framelens.llm.token_files import PerfectHash, ShardIndex, build_index, key_hash, open_document, read_token_files, write_token_files
 from framelens.llm.tokens import PieceEncoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -113,8 +113,69 @@ def test_token_files_round_trip(spark, odd, sample):
             ids = ids_of(text)
             assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
             start += len(ids)
-    assert (open_document(spark, manifest, 8, 1) == ids_of(next(r.text for r in odd.collect() if r.doc_id == 8))).all()
-    assert open_document(spark, manifest, 8, 2) is None and open_document(spark, manifest, 4) is None
+    assert (open_document(manifest, 8, 1) == ids_of(next(r.text for r in odd.collect() if r.doc_id == 8))).all()
+    assert open_document(manifest, 8, 2) is None and open_document(manifest, 4) is None
+
+
+def test_every_row_of_a_hot_id_can_be_opened(spark):
+    """Rows of one id, some of them equal, over all shards; a null id beside the smallest integer."""
+    rows = [(7, f"text number {i % 25}") for i in range(40)] + [(None, "unknown one"), (None, "unknown two"), (-(2**63), "smallest"), (9, "last"), (3, "few"), (3, "few")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    manifest = write_token_files(df, PATH, shards=4)
+    assert manifest.where("first_id = 7 or last_id = 7").count() > 2
+    table = read_token_files(manifest).collect()
+    assert len({(r.doc_id, r.occurrence) for r in table}) == len(rows) == len(table)
+    assert sorted(r.start for r in table) == np.r_[0, np.cumsum([r.n_tokens for r in sorted(table, key=lambda r: r.start)])[:-1]].tolist()
+    for doc in (7, None, -(2**63), 9, 3):
+        own = [t for i, t in rows if i == doc]
+        opened = [open_document(manifest, doc, n) for n in range(len(own))]
+        assert Counter(x.tobytes() for x in opened) == Counter(ids_of(t).tobytes() for t in own)
+        assert [zlib.crc32(x.tobytes()) for x in opened] == [r.ids_crc32 for r in sorted(table, key=lambda r: r.occurrence) if r.doc_id == doc]
+        assert open_document(manifest, doc, len(own)) is None
+    assert open_document(manifest, 8) is None and open_document(manifest, -5) is None
+
+
+class Counted:
+    """A file that counts the bytes read of it."""
+
+    def __init__(self, data):
+        self.data, self.read = data, 0
+
+    def read_at(self, n, at):
+        self.read += n
+        assert at + n <= len(self.data)
+        return self.data[at : at + n]
+
+
+@pytest.mark.parametrize("n", [1, 63, 5000, 200_000])
+def test_a_lookup_reads_a_bounded_part_of_the_index(n):
+    ids = np.random.default_rng(n).permutation(np.arange(n) * 3 - n)
+    counts = np.arange(n) % 7 + 1
+    offsets = np.cumsum(counts) - counts
+    data = build_index(ids, np.ones(n, bool), np.zeros(n, np.int64), offsets, counts)
+    keys, found_at, found = ShardIndex(Counted(data)).everything()
+    assert (keys["id"] == ids).all() and (found_at == offsets).all() and (found == counts).all()
+    most = 0
+    for i in range(0, n, max(1, n // 300)):
+        file = Counted(data)
+        assert ShardIndex(file).find(int(ids[i]), True, 0) == (offsets[i], counts[i])
+        most = max(most, file.read)
+        assert ShardIndex(Counted(data)).find(int(ids[i]) + 1, True, 0) is None
+        assert ShardIndex(Counted(data)).find(int(ids[i]), False, 0) is None and ShardIndex(Counted(data)).find(int(ids[i]), True, 1) is None
+    assert most < 3000
+
+
+def test_keys_of_equal_hashes_get_another_seed():
+    """Two keys made to collide under the first seed."""
+    from framelens.llm.token_files import _mix
+
+    rows = np.array([1, 3], np.uint64)
+    mixed = _mix(rows, 100)
+    ids = np.array([5, 5 ^ int(mixed[0]) ^ int(mixed[1])], np.uint64).view(np.int64)
+    occurrence, known = np.array([0, 1]), np.array([True, True])
+    assert len(set(key_hash(ids, known, occurrence).tolist())) == 1
+    index = ShardIndex(Counted(build_index(ids, known, occurrence, np.array([0, 4]), np.array([4, 2]))))
+    assert index.seed > 0 and index.find(int(ids[0]), True, 0) == (0, 4) and index.find(int(ids[1]), True, 1) == (4, 2)
 
 
 def test_no_documents_no_files(none):
