@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import re
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -12,12 +13,13 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from framelens.llm import language_id, quality_model
-from framelens.llm.fingerprints import add, digest, edited_fingerprints, fingerprint_texts, likeness, subtract
+from framelens.llm.fingerprints import EXACT, PART, SKETCH, add, digest, edited_fingerprints, fingerprint_texts, likeness, subtract
 from framelens.llm.mixing import mix, mixing_plan, solve_exponent
 from framelens.llm.packing import best_fill, pack_documents
 from framelens.llm.queries import QUERIES, tokenizer_path
@@ -212,6 +214,58 @@ def test_edited_texts_and_equal_fingerprints(odd, sample, none):
     assert edited_fingerprints(none).count() == 0
 
 
+def brute_vector(text):
+    """The lanes of a text from the hashes of its parts, with sums of any size."""
+    parts = [p for p in re.findall(PART, text, re.A) if p]
+    assert "".join(parts) == text
+
+    def hashed(part, seed):
+        return xxhash.xxh64_intdigest(seed.to_bytes(4, "little"), xxhash.xxh64_intdigest(part.encode(), 42))
+
+    exact, sketch = [], []
+    for seed in range(EXACT // 2):
+        both = [hashed(p, seed) for p in parts]
+        exact += [sum(h & 0xFFFFFFFF for h in both), sum(h >> 32 for h in both)]
+    for seed in range(SKETCH // 64):
+        both = [hashed(p, 1000 + seed) for p in parts]
+        sketch += [sum(h >> b & 1 for h in both) for j in range(32) for b in (j, j + 32)]
+    return [x % (1 << 32) for x in (len(parts), *exact, *sketch)]
+
+
+def brute_likeness(a, b):
+    x, y = (np.array([2 * s - v[0] for s in v[1 + EXACT :]], float) for v in (a, b))
+    own = (x * x + y * y).sum()
+    return float(a[0] == b[0]) if not own else max(0.0, 2 * (x * y).sum() / own)
+
+
+def test_lanes_and_likeness_against_brute_force(odd, sample):
+    for df in (odd, sample.limit(60)):
+        keyed = {((r.doc_id is not None, r.doc_id or 0), r.text or "") for r in df.select("doc_id", "text").collect()}
+        order = sorted(keyed, reverse=True)
+        after = dict(zip(order, order[1:] + order[:1]))
+        vector = {text: brute_vector(text) for _, text in keyed}
+        want = defaultdict(list)
+        for key in order:
+            text, lent = key[1], after[key][1]
+            edited = text[: len(text) - len(text) // 3] + lent[: len(text) // 3]
+            want[key[0]].append((vector[text], brute_vector(edited), vector[lent]))
+        for r in edited_fingerprints(df).collect():
+            own, new, following = next(w for w in want[r.doc_id is not None, r.doc_id or 0] if w[0] == r.lanes)
+            assert r.edited_lanes == new
+            assert r.near_edited == pytest.approx(brute_likeness(own, new)) and r.near_next == pytest.approx(brute_likeness(own, following))
+
+
+def test_many_repeats_of_a_part(spark):
+    """Sums beyond 16 bits: neither the count nor a lane wraps, and likeness stays true."""
+    block = "a b c d e\n"
+    rows = [(0, ""), (1, block * 65_536), (2, block * 40_000), (3, "x\n" + block * 65_536), (4, "x\n")]
+    v = {r.k: r.lanes for r in fingerprint_texts(spark.createDataFrame(rows, "k long, text string"), ["k"]).collect()}
+    assert v[1][0] == 65_536 and v[1] != v[0] and v[3] != v[4] and len({tuple(x) for x in v.values()}) == 5
+    assert v[1] == [x * 65_536 % (1 << 32) for x in brute_vector(block)]
+    near = edited_fingerprints(spark.createDataFrame([(1, block * 40_000), (2, "q " * 10)], "doc_id long, text string")).where("doc_id = 1").first().near_edited
+    assert 0.85 < near < 1
+
+
 def vectors(spark, texts):
     return fingerprint_texts(spark.createDataFrame(list(texts.items()), "k string, text string"), ["k"])
 
