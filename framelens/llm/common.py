@@ -41,8 +41,11 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder, removed when the application ends."""
     path = f"{shared_dir(spark)}/framelens/{label}-{uuid.uuid4().hex}"
-    _file_system(spark, path).deleteOnExit(spark._jvm.org.apache.hadoop.fs.Path(path))
-    return path
+    store, place = _file_system(spark, path), spark._jvm.org.apache.hadoop.fs.Path(path)
+    store.deleteOnExit(place)
+    whole = store.makeQualified(place).toString()
+    # The form of a local address that both Spark's and Arrow's file systems read.
+    return whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file://") else whole
 
 
 def _file_system(spark: SparkSession, path: str):

@@ -76,7 +76,8 @@ def _block_order(source: Column, block: Column, seed: int) -> Column:
 def mixing_plan(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", target_entropy: float | None = None, max_repeats: float | None = 2.0, budget_tokens: int | None = None, block_tokens: int = 1 << 20, seed: int = 17) -> DataFrame:
     """A row for each source: tokens, share, exponent, weight, repeats, copies, blocks and the cut in block order.
 
-    A null source is a source of its own. Without a budget the least one is taken that keeps every row at least
+    A null source is a source of its own, a null text is empty. An empty table gives no rows. Columns but those three
+    are never read. Without a budget the least one is taken that keeps every row at least
     once. ``repeats`` is a source's budget over its tokens; ``copies`` its whole part. The rows up to the cut
     (``cut_order``, ``cut_hash``; null: none) get one more, which together stay within the budget, but that rows with
     the same id and text are taken or left together.
@@ -113,18 +114,19 @@ def mix(docs: DataFrame, plan: DataFrame, source_col: str = "source", id_col: st
     in one pseudo-random order, ``tokens``, ``weight`` and ``repeats``. All columns of the input are kept; one called
     ``into`` is replaced. Repeated rows are repeated alike. An empty table gives no rows.
     """
-    of = plan.select(F.struct(*plan.columns).alias("_plan"))
-    keyed = docs.withColumn("_mix_hash", F.xxhash64(F.col(id_col), text_of(text_col), F.lit(seed))).withColumn("_mix_tokens", token_estimate(text_col))
-    joined = keyed.join(of, F.col(source_col).cast("string").eqNullSafe(F.col("_plan.source")))
-    block = _block(F.col("_mix_hash"), F.col("_plan.blocks"))
-    place = F.struct(_block_order(F.col("_plan.source"), block, seed).alias("o"), F.col("_mix_hash").alias("h"))
-    more = F.coalesce(place <= F.struct(F.col("_plan.cut_order").alias("o"), F.col("_plan.cut_hash").alias("h")), F.lit(False)) & F.col("_plan.cut_order").isNotNull()
-    copies = F.col("_plan.copies") + F.when(more, 1).otherwise(0)
+    of = plan.select(F.struct(*plan.columns).alias("plan"))
+    # The row is one column while others are added, so no name of the input can clash.
+    keyed = docs.select(F.struct("*").alias("row"), F.col(source_col).cast("string").alias("source"), F.xxhash64(F.col(id_col), text_of(text_col), F.lit(seed)).alias("hash"), token_estimate(text_col).alias("tokens"))
+    joined = keyed.join(of, F.col("source").eqNullSafe(F.col("plan.source")))
+    block = _block(F.col("hash"), F.col("plan.blocks"))
+    place = F.struct(_block_order(F.col("plan.source"), block, seed).alias("o"), F.col("hash").alias("h"))
+    more = F.coalesce(place <= F.struct(F.col("plan.cut_order").alias("o"), F.col("plan.cut_hash").alias("h")), F.lit(False)) & F.col("plan.cut_order").isNotNull()
+    copies = F.col("plan.copies") + F.when(more, 1).otherwise(0)
     epochs = F.when(copies > 0, F.sequence(F.lit(0).cast("long"), copies - 1)).otherwise(F.array().cast("array<long>"))
-    each = joined.withColumn("_mix_epoch", F.explode(epochs))
+    each = joined.withColumn("epoch", F.explode(epochs))
     told = F.struct(
-        F.col("_mix_epoch").cast("int").alias("epoch"), block.alias("block"),
-        F.xxhash64(F.col("_plan.source"), block, F.col("_mix_epoch"), F.lit(seed + 1)).alias("block_key"),
-        F.col("_mix_tokens").alias("tokens"), F.col("_plan.weight").alias("weight"), F.col("_plan.repeats").alias("repeats"),
+        F.col("epoch").cast("int").alias("epoch"), block.alias("block"),
+        F.xxhash64(F.col("plan.source"), block, F.col("epoch"), F.lit(seed + 1)).alias("block_key"),
+        "tokens", F.col("plan.weight").alias("weight"), F.col("plan.repeats").alias("repeats"),
     )
-    return each.withColumn(into, told).select(*[c for c in docs.columns if c != into], into)
+    return each.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() != into.lower()], told.alias(into))

@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import free_name
 from .tokens import ID_BYTES, encoder
 
 #: Sequence numbers of a split start at its number times this.
@@ -120,7 +121,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
     the text) with the name of a result is left out. No rows give no pieces.
     """
     names = [c for c in (docs.columns if carry is None else carry) if c not in PIECE_FIELDS and (carry is not None or c != text_col)]
-    source = docs.select(*[docs[c] for c in names], docs[text_col].cast("string").alias("_text_"))
+    source = docs.select(*[docs[c] for c in names], docs[text_col].cast("string").alias(free_name(docs, "_text")))
     schema = T.StructType([source.schema[c] for c in names] + [T.StructField(f, T.LongType(), False) for f in PIECE_FIELDS])
     end = end_id.to_bytes(ID_BYTES, "little")
 

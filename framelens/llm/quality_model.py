@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import sample_cut
+from .common import free_name, sample_cut
 
 
 FEATURES = ("log_words", "mean_word", "long_words", "symbol_rate", "pipe_words", "shout_words", "bang_rate", "digit_rate", "punct_rate", "distinct_rate", "top_word_rate", "repeat_pairs", "line_words", "dup_lines", "upper_rate", "capital_words", "non_ascii", "deflated")
@@ -166,7 +166,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def text_features(docs: DataFrame, text_col: str, carry: list[str]) -> DataFrame:
-    source = docs.select(*carry, F.col(text_col).cast("string").alias("_text_"))
+    source = docs.select(*carry, F.col(text_col).cast("string").alias(free_name(docs, "_text")))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,7 +204,7 @@ def score_quality(docs: DataFrame, model: GamModel, text_col: str = "text", carr
     called like a result are left out.
     """
     names = [c for c in (docs.columns if carry is None else carry) if c not in ("score", "predicted")]
-    source = docs.select(*names, F.col(text_col).cast("string").alias("_text_"))
+    source = docs.select(*names, F.col(text_col).cast("string").alias(free_name(docs, "_text")))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: a few tables of at most 32 or 64 numbers
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import free_name
+
 
 #: Fixed values of the base rules.
 SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -164,7 +166,7 @@ def repetition_report(docs: DataFrame, text_col: str = "text", into: str = "repe
     replaced. A very long text is analysed whole, with about 100 bytes of memory a word.
     """
     names = [c for c in (docs.columns if carry is None else carry) if c != into]
-    source = docs.select(*[docs[c] for c in names], docs[text_col].cast("string").alias("_text_"))
+    source = docs.select(*[docs[c] for c in names], docs[text_col].cast("string").alias(free_name(docs, "_text")))
     schema = T.StructType([source.schema[c] for c in names] + [T.StructField(into, REPORT, False)])
     arrow_type = pa.struct([pa.field(f.name, pa.bool_() if isinstance(f.dataType, T.BooleanType) else pa.int64() if isinstance(f.dataType, T.LongType) else pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))) for f in REPORT])
 

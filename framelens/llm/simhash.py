@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, text_of
+from .common import free_name, stored, text_of
 from .components import connected_components
 
 SEED = 42
@@ -65,7 +65,7 @@ def simhash(docs: DataFrame, text_col: str = "text", into: str = "fp", shingle:
     (default: all); a column called ``into`` is replaced.
     """
     names = [c for c in (docs.columns if carry is None else carry) if c != into]
-    source = docs.select(*[docs[c] for c in names], docs[text_col].cast("string").alias("_text_"))
+    source = docs.select(*[docs[c] for c in names], docs[text_col].cast("string").alias(free_name(docs, "_text")))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -23,11 +23,15 @@ def base_rows():
     ]
 
 
+#: More names that operators use inside.
+CLASHING = "_base _secrets _text_ _text_hash _row _mix _mix_hash _mix_tokens _plan plan row file tokens hash epoch _kept_id _part _known _hash n_words _metadata text_hash bands key part root spans".split()
+
+
 @pytest.fixture(scope="session")
 def odd(spark):
     """Nulls, empty and long texts, repeated rows, ties, and columns whose names operators use themselves."""
     df = spark.createDataFrame(base_rows(), SCHEMA)
-    return df.selectExpr("*", "'x' AS fp", "'y' AS repetition", "'z' AS secrets", "1 AS mix", "2 AS start", "3 AS _text", "4 AS _id", "5 AS score", "6 AS features", "7 AS lanes")
+    return df.selectExpr("*", "'x' AS fp", "'y' AS repetition", "'z' AS secrets", "1 AS mix", "2 AS start", "3 AS _text", "4 AS _id", "5 AS score", "6 AS features", "7 AS lanes", *[f"{i} AS {c}" for i, c in enumerate(CLASHING)])
 
 
 @pytest.fixture(scope="session")

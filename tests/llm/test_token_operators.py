@@ -19,6 +19,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from framelens.llm import language_id, quality_model
+from framelens.llm.common import stored
 from framelens.llm.fingerprints import EXACT, PART, SKETCH, add, digest, edited_fingerprints, fingerprint_texts, likeness, subtract
 from framelens.llm.mixing import mix, mixing_plan, solve_exponent
 from framelens.llm.packing import best_fill, pack_documents
@@ -462,6 +463,20 @@ def test_pipeline_stages(spark, sample, odd):
     check_packing(mixed, stages["packing"](spark, mixed, "").collect())
 
 
+def test_pipeline_keeps_clashing_columns(odd):
+    """Every stage hands on columns of any name and case as they are, and the last one packs all the same."""
+    rows = odd.withColumn("text", F.concat_ws(" ", "text", F.lit("token=abcdefgh12 and some more words"), F.lit("that let a text pass the rules")))
+    for docs in (rows, rows.drop("repetition", "secrets", "mix").selectExpr("*", "'y' AS REPETITION", "'z' AS Secrets", "1 AS MIX")):
+        extra = [c for c in docs.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+        want = docs.select(*[F.col(f"`{c}`") for c in extra]).distinct().collect()
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            columns, docs = docs.columns, stage(docs.sparkSession, docs, "")
+            assert docs.columns == columns, name
+            docs = stored(docs, name)
+            assert docs.select(*extra).distinct().collect() == want, name
+        assert corpus_pipeline.packing(docs.sparkSession, docs, "").count() >= docs.count() > 0
+
+
 def test_pipeline_on_no_documents(spark, none):
     docs = none.select("doc_id", "text", "lang", "source", "n_chars")
     for _, stage in corpus_pipeline.STAGES:
