@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: The marks that a clean name has underscores for.
-NAME_MARKS = r"[|@#!¡·$€%&()=?¿^*;:,¨´><+]"
+NAME_MARKS = r"[|@#!¡·$€%&()=?¿^*;:,¨`><+]"
 
 
 def clean_name(s: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ordered import running_sums
+from .shared import checkpointed
 
 
 def hash_order(seed: str | int, *keys: str) -> Column:
@@ -18,40 +19,34 @@ def hash_unit(seed: str | int, *keys: str) -> Column:
     return F.conv(F.substring(hash_order(seed, *keys), 1, 7), 16, 10).cast("long") / F.lit(float(16**7))
 
 
-#: The most ranges that a total order is cut into.
-MAX_RANGES = 256
-_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
-
-
-def _number_of(rows: DataFrame, column: str) -> Column:
-    """A number that sorts as the column does: itself, or the first six bytes of its text."""
-    if dict(rows.dtypes)[column] in _NUMERIC:
-        return F.col(column).cast("double")
-    lead = F.rpad(F.substring(F.hex(F.col(column).cast("string").cast("binary")), 1, 12), 12, "0")
-    return F.conv(lead, 16, 10).cast("double")
+def in_ranges(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``rows`` with ``_step``, the number of a range of the whole order, which is cut into as many as the shuffle has
+    partitions. Spark samples the bounds, so the rows are written before anyone relies on them. Nulls come first."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return checkpointed(rows.repartitionByRange(n, *[F.col(c) for c in order]).withColumn("_step", F.spark_partition_id()))
 
 
 def dense_numbers(rows: DataFrame, order: list[str], into: str, start: int = 1) -> DataFrame:
     """Numbers rows from ``start`` in the order of the columns, which must be total, without one task for all.
 
-    The first column is cut at approximate quantiles, a bounded list on the driver; each range is numbered alone and
-    starts where those before it end. Nulls come first.
+    Each range of the order is numbered alone and starts where those before it end. Nulls come first.
     """
-    n = min(MAX_RANGES, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    place = _number_of(rows, order[0])
-    cuts = rows.agg(F.percentile_approx(place, [i / n for i in range(1, n)])).first()[0] if n > 1 else None
-    step = F.lit(0)
-    for c in sorted(set(cuts or [])):
-        step = step + F.when(place > c, 1).otherwise(0)
-    marked = rows.withColumn("_step", F.when(place.isNull(), -1).otherwise(step)).withColumn("_one", F.lit(1)).withColumn("_all", F.lit(0))
+    marked = in_ranges(rows, order).withColumns({"_one": F.lit(1), "_all": F.lit(0)})
     numbered = running_sums(marked, ["_all"], [F.col(c) for c in order], {into: "_one"})
     return numbered.withColumn(into, F.col(into) + (start - 1)).drop("_step", "_one", "_all")
 
 
 def exact_duplicates(rows: DataFrame, content: Column, name: str) -> DataFrame:
-    """Rows whose content another row with a smaller name has: size first, then sha256."""
-    same = Window.partitionBy("size", "digest").orderBy(name)
-    return rows.withColumn("size", F.octet_length(content)).withColumn("digest", F.sha2(content.cast("binary"), 256)).withColumn("copy", F.row_number().over(same) - 1).where("copy > 0")
+    """Rows whose content another row with a smaller name has: size first, then sha256.
+
+    ``copy`` numbers the copies of a content by name. A content that very many rows share, such as the empty one, is
+    numbered range by range of the names, and what is unique doesn't come that far.
+    """
+    told = rows.withColumn("size", F.octet_length(content)).withColumn("digest", F.sha2(content.cast("binary"), 256))
+    shared = told.groupBy("size", "digest").agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    copies = in_ranges(told.join(shared, ["size", "digest"]), [name]).withColumn("_one", F.lit(1))
+    ranked = running_sums(copies, ["size", "digest"], [F.col(name)], {"_r": "_one"})
+    return ranked.where("_r > 1").withColumn("copy", (F.col("_r") - 1).cast("int")).select(*told.columns, "copy")
 
 
 def class_signature(annotations: DataFrame, image: str = "image", cls: str = "cls") -> DataFrame:
@@ -63,32 +58,41 @@ def allocate(strata: DataFrame, total: int, stratum: str = "signature", size: st
     """Adds ``take``: a proportional share of ``total``, at least 1 and at most the stratum, that sums to ``total``.
 
     What rounding leaves is dealt one by one over the strata by falling size, in rounds, to those that have room
-    (or more than one). In closed form: with r rounds a stratum can take min(r, room); the last, partial round goes to
-    the first that still have room. Strata are a table of class signatures and small.
+    (or more than one). In closed form: with r rounds a stratum can take min(r, room), which sums to a line with a bend
+    at each distinct room; the last, partial round goes to the first that still have room. Class signatures may be very
+    many, so no task sees them all: rooms meet as a histogram, which has at most the root of twice the images in rows.
     """
-    every = Window.partitionBy()
-    pool = strata.withColumn("_total", F.sum(size).over(every))
-    base = pool.withColumn("_base", F.least(F.greatest(F.lit(1), F.bround(F.col(size) * total / F.col("_total"))), F.col(size)).cast("long"))
-    left = base.withColumn("_left", F.lit(total) - F.sum("_base").over(every))
-    room = left.withColumn("_room", F.when(F.col("_left") >= 0, F.col(size) - F.col("_base")).otherwise(F.col("_base") - 1))
-    rooms = F.collect_list("_room").over(every)
-    taken = lambda r: F.aggregate(F.col("_rooms"), F.lit(0).cast("long"), lambda a, x: a + F.least(x, r))
-    # The largest number of whole rounds that the remainder pays for, by bisection over 40 bits.
-    rounds = F.aggregate(F.sequence(F.lit(39), F.lit(0), F.lit(-1)), F.lit(0).cast("long"), lambda r, b: F.when(taken(r + F.pow(F.lit(2.0), b).cast("long")) <= F.abs("_left"), r + F.pow(F.lit(2.0), b).cast("long")).otherwise(r))
-    whole = room.withColumn("_rooms", rooms).withColumn("_rounds", rounds)
-    rest = whole.withColumn("_more", F.abs("_left") - taken(F.col("_rounds"))).withColumn("_can", (F.col("_room") > F.col("_rounds")).cast("int"))
-    turn = Window.orderBy(F.desc(size), stratum).rowsBetween(Window.unboundedPreceding, 0)
-    last = rest.withColumn("_extra", F.when((F.col("_can") == 1) & (F.sum("_can").over(turn) <= F.col("_more")), 1).otherwise(0))
-    moved = F.least(F.col("_room"), F.col("_rounds")) + F.col("_extra")
-    return last.withColumn("take", F.col("_base") + F.signum("_left").cast("long") * moved).select(*strata.columns, "take")
+    strata = checkpointed(strata)
+    n = strata.agg(F.sum(size)).first()[0] or 0
+    base = strata.withColumn("_base", F.least(F.greatest(F.lit(1), F.bround(F.col(size) * total / F.lit(n or 1))), F.col(size)).cast("long"))
+    left = total - (base.agg(F.sum("_base")).first()[0] or 0)
+    room = base.withColumn("_room", F.col(size) - F.col("_base") if left >= 0 else F.col("_base") - 1)
+    upto, above = Window.orderBy("_room").rowsBetween(Window.unboundedPreceding, 0), Window.orderBy("_room").rowsBetween(1, Window.unboundedFollowing)
+    bends = room.where("_room > 0").groupBy("_room").agg(F.count("*").alias("_k"))
+    line = bends.select("_room", F.coalesce(F.sum("_k").over(above), F.lit(0)).alias("_above"), F.sum(F.col("_room") * F.col("_k")).over(upto).alias("_spent"))
+    spent = line.withColumn("_cost", F.col("_spent") + F.col("_room") * F.col("_above")).where(F.col("_cost") <= abs(left))
+    last = spent.orderBy(F.desc("_room")).first()
+    rounds, cost, open_ = (last["_room"], last["_cost"], last["_above"]) if last else (0, 0, bends.agg(F.sum("_k")).first()[0] or 0)
+    more = (abs(left) - cost) // open_ if open_ else 0
+    rounds, more = rounds + more, abs(left) - cost - more * open_
+    whole = room.withColumn("take", F.col("_base") + (1 if left >= 0 else -1) * F.least(F.col("_room"), F.lit(rounds))).drop("_base")
+    if not more or not open_:
+        return whole.drop("_room")
+    turns = dense_numbers(whole.where(F.col("_room") > rounds).withColumn("_falling", -F.col(size)), ["_falling", stratum], "_turn")
+    extra = turns.where(F.col("_turn") <= more).select(stratum, F.lit(1 if left >= 0 else -1).alias("_extra"))
+    return whole.join(extra, stratum, "left").withColumn("take", F.col("take") + F.coalesce("_extra", F.lit(0))).select(*strata.columns, "take")
 
 
 def stratified_sample(images: DataFrame, total: int, seed: int, image: str = "image", signature: str = "signature") -> DataFrame:
-    """The images that a stratified allocation picks, in hash order inside each signature."""
+    """The images that a stratified allocation picks, in hash order inside each signature.
+
+    The hash is the order, so ranks are running counts in two levels and a dominant signature is spread over tasks.
+    """
     sizes = images.groupBy(signature).agg(F.count("*").alias("n"))
     plan = allocate(sizes, total, signature).select(signature, "take")
-    ranked = images.withColumn("_r", F.row_number().over(Window.partitionBy(signature).orderBy(hash_order(seed, image), image)))
-    return ranked.join(plan, signature).where(F.col("_r") <= F.col("take")).drop("_r", "take")
+    ordered = images.withColumn("_h", hash_order(seed, image)).withColumn("_step", F.conv(F.substring("_h", 1, 3), 16, 10).cast("int")).withColumn("_one", F.lit(1))
+    ranked = running_sums(ordered, [signature], [F.col("_h"), F.col(image)], {"_r": "_one"})
+    return ranked.join(plan, signature).where(F.col("_r") <= F.col("take")).select(*images.columns)
 
 
 def hash_split(rows: DataFrame, key: str, shares: dict[str, float], seed: int = 0) -> DataFrame:

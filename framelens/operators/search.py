@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,16 +28,55 @@ def search(index: DataFrame, query: list[float], vector: str = "embedding", key:
     return scored.orderBy(F.desc("score"), key).limit(k).where(F.col("score") >= least).select(key, "score")
 
 
+#: Vectors of a slab of the index and of a block of queries that one step multiplies.
+SLAB, BLOCK = 4096, 256
+
+
 def search_many(index: DataFrame, queries: DataFrame, vector: str = "embedding", key: str = "vec_id", k: int = 30, least: float = 0.1) -> DataFrame:
-    """The same for a bounded batch of queries (query, embedding): the batch goes to the index, not the index to it."""
-    batch = queries.agg(F.collect_list(F.struct(F.col("query"), unit(F.col(vector)).alias("q"))).alias("batch"))
-    [row] = batch.collect()
-    entries: list[Column] = [F.struct(F.lit(q["query"]).alias("query"), F.array(*[F.lit(float(v)) for v in q["q"]]).alias("q")) for q in row["batch"] or []]
-    if not entries:
-        return index.select(F.col(key).alias("query"), key, F.lit(0.0).alias("score")).where(F.lit(False))
-    scored = index.withColumn("_q", F.explode(F.array(*entries))).select(F.col("_q.query").alias("query"), key, dot(F.col(vector), F.col("_q.q")).alias("score"))
-    best = Window.partitionBy("query").orderBy(F.desc("score"), key)
-    return scored.withColumn("_r", F.row_number().over(best)).where((F.col("_r") <= k) & (F.col("score") >= least)).drop("_r")
+    """The same for any number of queries (query, embedding), each against the whole index: (query, key, score).
+
+    Index rows are dealt into lanes and every query goes to each lane, so all meet by one equal join of blocks with
+    slabs; each meeting keeps its k best, and these few are ranked in the end. A lane is read slab by slab, so memory
+    holds a slab and a block at a time. A vector that is null or has another length than a query scores nothing there.
+    """
+    spark = index.sparkSession
+    lanes = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    double = lambda c: F.transform(F.col(c), lambda x: x.cast("double"))
+    stored = index.where(F.col(vector).isNotNull()).select(F.col(key).alias("k"), double(vector).alias("v"), F.pmod(F.xxhash64(key), F.lit(lanes)).cast("int").alias("lane"))
+    asked = queries.where(F.col(vector).isNotNull()).select(F.col("query").alias("q"), unit(F.col(vector)).alias("v"), F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"))
+    key_type, query_type = stored.schema["k"].dataType.simpleString(), asked.schema["q"].dataType.simpleString()
+
+    def blocks(rows: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, np.ndarray]]:
+        """Numbers and vectors of as many rows of one length; a change of length starts a block too."""
+        names, vectors = [], []
+        for batch in rows:
+            for name, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if vectors and (len(vectors) == size or len(v) != len(vectors[0])):
+                    yield names, np.array(vectors)
+                    names, vectors = [], []
+                names.append(name)
+                vectors.append(v)
+        if vectors:
+            yield names, np.array(vectors)
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        best: dict = {}
+        for names, slab in blocks(left.select(["k", "v"]).to_batches(SLAB), SLAB):
+            for askers, block in blocks(right.select(["q", "v"]).to_batches(BLOCK), BLOCK):
+                if block.shape[1] != slab.shape[1]:
+                    continue
+                for asker, q in zip(askers, block):
+                    # A sum for each row alone, so that equal vectors have equal scores wherever they stand.
+                    scores = (slab * q).sum(axis=1)
+                    some = np.flatnonzero(scores >= np.partition(scores, -k)[-k]) if len(scores) > k else np.arange(len(scores))
+                    found = best.get(asker, []) + [(-scores[i], names[i]) for i in some.tolist()]
+                    best[asker] = sorted(found)[:k]
+        rows = [(asker, name, -score) for asker, found in best.items() for score, name in found if -score >= least]
+        return pa.table([pa.array([r[0] for r in rows], right["q"].type), pa.array([r[1] for r in rows], left["k"].type), pa.array([r[2] for r in rows], pa.float64())], names=["query", key, "score"])
+
+    few = stored.groupBy("lane").cogroup(asked.groupBy("lane")).applyInArrow(meet, f"query {query_type}, `{key}` {key_type}, score double")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), key)
+    return few.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k).drop("_r")
 
 
 def top_classes(scores: Column, k: int = 5) -> Column:

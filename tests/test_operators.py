@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from framelens.functions import boxes as bx
 from framelens.functions import polygons
-from framelens.functions.strings import label_path, six_digits
+from framelens.functions.strings import clean_name, label_path, six_digits
 from framelens.functions.vectors import joint_angle
 from framelens.operators import augment, curves, etl, matching, metrics, search, suppression, trajectories
 
@@ -357,3 +357,69 @@ def test_confusion_sums_equal_the_inputs(spark):
     cells = metrics.detection_confusion(d, g).collect()
     assert sum(c.n for c in cells if c.actual != "background") == len(truth)
     assert sum(c.n for c in cells if c.predicted != "background") == sum(x[3] > 0.25 for x in dets)
+
+
+def brute_allocate(sizes, total):
+    """Strata dealt one by one, by falling size and then name, in rounds."""
+    n = sum(sizes.values())
+    take = {s: max(1, min(k, round(k * total / n))) for s, k in sizes.items()}
+    order = sorted(sizes, key=lambda s: (-sizes[s], s))
+    while (left := total - sum(take.values())) != 0:
+        step = 1 if left > 0 else -1
+        open_ = [s for s in order if (take[s] < sizes[s] if step > 0 else take[s] > 1)]
+        if not open_:
+            break
+        for s in open_[: abs(left)]:
+            take[s] += step
+    return take
+
+
+@pytest.mark.parametrize("total", [0, 1, 7, 30, 31, 100, 333, 5000])
+def test_allocation_against_dealing_one_by_one(spark, total):
+    rng = random.Random(total)
+    sizes = {f"s{i}": rng.choice((1, 1, 2, 3, 9, 40)) for i in range(30)}
+    rows = etl.allocate(spark.createDataFrame(list(sizes.items()), "signature string, n long"), total).collect()
+    assert {r.signature: r["take"] for r in rows} == brute_allocate(sizes, total)
+
+
+def test_copies_of_one_content_are_numbered_by_name(spark):
+    rows = [(f"n{i:03}", "") for i in range(60)] + [("a", "x"), ("b", "x"), ("c", "only")]
+    out = etl.exact_duplicates(spark.createDataFrame(rows[::-1], "name string, body string"), F.col("body"), "name").collect()
+    assert {(r.name, r["copy"]) for r in out} == {(f"n{i:03}", i) for i in range(1, 60)} | {("b", 1)}
+
+
+def test_numbers_of_a_composite_order(spark):
+    """One value of the first column for all rows, names that share their start, nulls first."""
+    rows = [(0, f"a long common start {i:04}") for i in range(300)] + [(0, None), (None, "z")]
+    out = etl.dense_numbers(spark.createDataFrame(rows[::-1], "part int, name string"), ["part", "name"], "n").collect()
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    assert {(r.part, r.name): r.n for r in out} == {r: i + 1 for i, r in enumerate(order)}
+
+
+def test_search_of_many_against_all_scores(spark):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(300, 6)).round(1)
+    vectors[50:60] = vectors[40]
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    index = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)] + [(300, None), (301, [1.0])], "vec_id long, embedding array<double>")
+    queries = spark.createDataFrame([(i, (vectors[i] * 3).tolist()) for i in range(0, 300, 20)] + [(999, None)], "query long, embedding array<double>")
+    got = {}
+    for r in search.search_many(index, queries, k=12, least=0.2).collect():
+        got.setdefault(r.query, {})[r.vec_id] = r.score
+    for q in range(0, 300, 20):
+        scores = (vectors * vectors[q]).sum(axis=1).round(12)
+        best = sorted(range(300), key=lambda i: (-scores[i], i))[:12]
+        assert {k: round(v, 9) for k, v in got.pop(q).items()} == {i: pytest.approx(scores[i]) for i in best if scores[i] >= 0.2}
+    assert not got
+    assert search.search_many(index, queries.limit(0)).count() == 0
+
+
+def test_marks_of_names(spark):
+    marks = "|@#!¡·$€%&()=?¿^*;:,¨`><+"
+    row = spark.createDataFrame([(f"a{marks}b´-_.~",)], "s string").select(clean_name(F.col("s")).alias("c")).first()
+    assert row.c == "a" + "_" * len(marks) + "b´-_.~"
+
+
+def test_orphans_have_no_parent(spark):
+    child = spark.createDataFrame([(1, 10), (2, 11), (3, None)], "c long, key long")
+    assert [r.c for r in etl.orphans(child, spark.createDataFrame([(10,)], "p long"), "key", "p").orderBy("c").collect()] == [2, 3]
