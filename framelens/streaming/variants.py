@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from .tracker import Detection, Track, Tracker, TrackerConfig, _box, iou_cost, predict_all, unit
+from .tracker import Detection, SizeState, Track, Tracker, TrackerConfig, iou_cost, predict_all, unit
 
 
 def _centre(box: np.ndarray) -> np.ndarray:
@@ -93,6 +93,8 @@ class AppearanceConfig(TrackerConfig):
 class AppearanceTracker(Tracker):
     """Takes the lesser of overlap cost and half the cosine distance of looks, where both are near enough."""
 
+    state = SizeState
+
     def cost(self, tracks: list[Track], dets: list[Detection], fuse: bool) -> np.ndarray:
         base = super().cost(tracks, dets, fuse)
         apart = super().cost(tracks, dets, False)
@@ -127,40 +129,107 @@ class MotionAppearanceTracker(MotionTracker, AppearanceTracker):
 
 @dataclass(frozen=True)
 class OcclusionConfig(TrackerConfig):
-    """Fixed defaults: cover that counts as hidden, frames it may last, damping of speed, overlap that bars births."""
+    """Fixed defaults: cover that counts as hidden, frames hidden before a track is lost, and those a track may go
+    unmatched otherwise; states back that speed and place are taken from; growth of the height and damping of the speed;
+    frames that a lost track may still come back after it was hidden; and the overlap that bars births (1: none)."""
 
     cover: float = 0.7
     patience: int = 10
+    unmatched: int = 2
+    speed_back: int = 5
+    place_back: int = 3
+    grow: float = 1.1
     damp: float = 0.5
+    reappear: int = 40
     bar: float = 0.7
 
 
+@dataclass
+class Hiding:
+    """What a track went through: its last states, frames unmatched and hidden, and when it was last found hidden."""
+
+    states: list[tuple[np.ndarray, np.ndarray]]
+    unmatched: int = 0
+    hidden: int = 0
+    since: int | None = None
+
+
 class OcclusionTracker(Tracker):
-    """An unmatched track that a matched one covers is kept as hidden, slowed down, for some frames before it is lost."""
-
-    def _covered(self, track: Track) -> bool:
-        box = _box(track.mean)
-        for other in self.tracks:
-            if other is not track and other.frame == self.steps:
-                b = _box(other.mean)
-                inter = np.clip(np.minimum(box[2:], b[2:]) - np.maximum(box[:2], b[:2]), 0, None).prod()
-                if inter / max((box[2:] - box[:2]).prod(), 1e-9) > self.config.cover:
-                    return True
-        return False
+    """An unmatched track that a matched one covers is hidden: its state goes back to before, grows and slows down once,
+    and it waits longer before it is lost and, once lost, before it is forgotten."""
+
+    def __init__(self, config: OcclusionConfig | None = None) -> None:
+        super().__init__(config or OcclusionConfig())
+        self.hiding: dict[int, Hiding] = {}
+        self.met: list[Track] = []
+
+    def _remember(self, track: Track) -> Hiding:
+        past = self.hiding.setdefault(track.track_id, Hiding([]))
+        keep = max(self.config.speed_back, self.config.place_back) + 4
+        past.states = [*past.states[1 - keep :], (track.mean.copy(), track.cov.copy())]
+        return past
+
+    def give(self, track: Track, det: Detection) -> None:
+        found = track.lost
+        super().give(track, det)
+        past = self._remember(track)
+        past.unmatched = past.hidden = 0
+        if found:
+            past.since = None
+        else:
+            self.met.append(track)
+
+    def birth(self, det: Detection) -> None:
+        super().birth(det)
+        self._remember(self.tracks[-1])
+
+    def _covers(self, tracks: list[Track]) -> np.ndarray:
+        """The largest share of each track that one matched in this frame covers."""
+        own, others = np.array([t.box for t in tracks]), [t.box for t in self.met if t.sure]
+        if not others:
+            return np.zeros(len(tracks))
+        over = np.array(others)
+        inter = np.clip(np.minimum(own[:, None, 2:], over[None, :, 2:]) - np.maximum(own[:, None, :2], over[None, :, :2]), 0, None).prod(axis=2)
+        return (inter / ((own[:, 2:] - own[:, :2]).prod(axis=1)[:, None] + 1e-7)).max(axis=1)
+
+    def _hide(self, track: Track, past: Hiding) -> None:
+        c = self.config
+        past.hidden, past.since = 1, self.steps
+        if len(past.states) >= c.speed_back:
+            track.mean[4:] = past.states[-c.speed_back][0][4:]
+        if len(past.states) >= c.place_back:
+            mean, cov = past.states[-c.place_back]
+            track.mean[:4], track.cov = mean[:4], cov.copy()
+        track.mean[3] *= c.grow
+        track.mean[4:] *= c.damp
 
     def lose(self, tracks: list[Track]) -> None:
-        for t in tracks:
-            if self.steps - t.frame <= self.config.patience and self._covered(t):
-                t.mean[4:] *= self.config.damp
-            else:
-                t.lost = True
+        for track, cover in zip(tracks, self._covers(tracks) if tracks else []):
+            past = self.hiding[track.track_id]
+            past.unmatched += 1
+            if past.hidden:
+                past.hidden += 1
+            elif cover > self.config.cover:
+                self._hide(track, past)
+            if past.since is not None and self.steps - past.since > self.config.reappear:
+                past.since = None
+            track.lost = past.unmatched > self.config.unmatched and not 0 < past.hidden <= self.config.patience
+
+    def stale(self, track: Track) -> bool:
+        since = self.hiding[track.track_id].since
+        return super().stale(track) and (since is None or self.steps - since > self.config.reappear)
 
     def may_start(self, det: Detection) -> bool:
-        active = [_box(t.mean) for t in self.tracks if t.frame == self.steps and t.sure]
-        return super().may_start(det) and not (active and (1 - iou_cost(np.array(active), det.box[None])).max() >= self.config.bar)
+        live = [t.box for t in self.tracks if not t.lost]
+        barred = self.config.bar < 1 and live and (1 - iou_cost(np.array(live), det.box[None])).max() >= self.config.bar
+        return super().may_start(det) and not barred
 
     def step(self, dets: list[Detection]) -> list[Track]:
-        return [t for t in super().step(dets) if t.frame == self.steps]
+        self.met = []
+        out = [t for t in super().step(dets) if t.frame == self.steps]
+        ids = {t.track_id for t in self.tracks}
+        self.hiding = {k: v for k, v in self.hiding.items() if k in ids}
+        return out
 
 
 def mutual_nearest(cost: np.ndarray, limit: float, shrink: float = 0.05) -> list[tuple[int, int]]:
@@ -197,10 +266,12 @@ class PoolConfig(TrackerConfig):
 class PoolTracker(Tracker):
     """All detections at once, those of low score at a penalty, by mutual nearest pairs; births away from all tracks."""
 
+    state = SizeState
+
     def cost(self, tracks: list[Track], dets: list[Detection], fuse: bool) -> np.ndarray:
         c = self.config
         apart = super().cost(tracks, dets, False)
-        a, b = np.array([_box(t.mean) for t in tracks]), np.array([d.box for d in dets])
+        a, b = np.array([t.box for t in tracks]), np.array([d.box for d in dets])
         tall = np.clip(np.minimum(a[:, None, 3], b[None, :, 3]) - np.maximum(a[:, None, 1], b[None, :, 1]), 0, None) / (np.maximum(a[:, None, 3], b[None, :, 3]) - np.minimum(a[:, None, 1], b[None, :, 1]) + 1e-7)
         scores = np.array([d.conf for d in dets])
         unlike = np.abs(np.array([t.score for t in tracks])[:, None] - scores[None, :])
@@ -228,10 +299,10 @@ class PoolTracker(Tracker):
         gone = {id(t) for t in dropped} | {id(t) for t in pool if t.lost and self.steps - t.frame > c.buffer}
         self.tracks = [t for t in self.tracks if id(t) not in gone]
         for d in sorted((d for d in high if d.conf >= c.new), key=lambda d: -d.conf):
-            taken = [_box(t.mean) for t in self.tracks if t.frame == self.steps]
+            taken = [t.box for t in self.tracks if t.frame == self.steps]
             if not taken or (1 - iou_cost(np.array(taken), d.box[None])).max() <= c.birth_overlap:
-                self.last_id += 1
-                self.tracks.append(Track.born(self.last_id, d, self.steps, self.steps == 1))
+                self.birth(d)
+        self.merge()
         return [t for t in self.tracks if t.sure and not t.lost and t.frame == self.steps]
 
 
@@ -242,8 +313,9 @@ def warp_all(tracks: list[Track], warp: np.ndarray) -> None:
     for t in tracks:
         t.mean[:2] = linear @ t.mean[:2] + shift
         t.mean[4:6] = linear @ t.mean[4:6]
-        t.mean[[3, 7]] *= scale
-        turn = np.eye(8)
+        grown = np.ones(8)
+        t.state.scale(grown, scale)
+        t.mean *= grown
+        turn = np.diag(grown)
         turn[:2, :2] = turn[4:6, 4:6] = linear
-        turn[3, 3] = turn[7, 7] = scale
         t.cov = turn @ t.cov @ turn.T
