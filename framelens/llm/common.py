@@ -12,8 +12,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, nullcontext
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -52,11 +54,38 @@ def _file_system(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Writes ``df`` as Parquet to the shared folder and reads it back: cuts the lineage, survives lost executors."""
+#: Rows that are whole texts which Python takes at a time, and the setting of how many the JVM sends.
+TEXT_ROWS, BATCH_KEY = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of whole texts in slices, so that few of them are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TEXT_ROWS):
+            yield batch.slice(at, TEXT_ROWS)
+
+
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Smaller Arrow batches while a block runs; the session is then as it was."""
+    before = int(spark.conf.get(BATCH_KEY))
+    spark.conf.set(BATCH_KEY, str(min(before, TEXT_ROWS) if before > 0 else TEXT_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_KEY, str(before))
+
+
+def stored(df: DataFrame, label: str, texts: bool = False) -> DataFrame:
+    """Writes ``df`` as Parquet to the shared folder and reads it back: cuts the lineage, survives lost executors.
+
+    ``texts`` says that its plan hands whole texts to Python, which it then does in smaller batches: one stands in the
+    JVM and in Python at once, so its size is most of what such a task holds.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    with _small_batches(spark) if texts else nullcontext():
+        df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._framelens_path = path
     return back

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import sample_cut, stored
+from .common import in_slices, sample_cut, stored
 
 BUCKETS = 1 << 13
 #: Characters that all trigrams together count for at most; what is above is tempered away.
@@ -141,7 +141,7 @@ def page_evidence(pages: DataFrame, langs: list[str], model: np.ndarray, url_col
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
-        for batch in batches:
+        for batch in in_slices(batches):
             hosts, declared, scores = [], [], []
             for url, page in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 hosts.append(host_of(url or ""))
@@ -178,7 +178,7 @@ def identify_languages(pages: DataFrame, labelled: DataFrame, max_rows: int = 40
         return bare.withColumns({c: F.lit(None).cast("string") for c in ("host", "suffix", "declared", "text_lang", "lang")}).withColumn("probability", F.lit(None).cast("double")).withColumn("posterior", F.array().cast("array<double>"))
     n = len(langs)
     names = F.array(*[F.lit(x) for x in langs])
-    table = stored(page_evidence(pages, langs, model, url_col, html_col, id_col), "page-evidence")
+    table = stored(page_evidence(pages, langs, model, url_col, html_col, id_col), "page-evidence", texts=True)
     # n numbers for the corpus; grouped sums come back by joins that may be split.
     corpus = table.agg(*[F.coalesce(F.sum(F.get("text_posterior", F.lit(i))), F.lit(0.0)) for i in range(n)]).first()
     joined = table.withColumn("corpus", F.array(*[F.lit(float(x)) for x in corpus]))

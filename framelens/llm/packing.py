@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import free_name
+from .common import free_name, in_slices
 from .tokens import ID_BYTES, encoder
 
 #: Sequence numbers of a split start at its number times this.
@@ -138,7 +138,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
                 offset += len(p)
             sequence += 1
 
-        for batch in batches:
+        for batch in in_slices(batches):
             types = [f.type for f in batch.schema][:-1]
             carried = [c.to_pylist() for c in batch.columns[:-1]]
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, sample_cut
+from .common import free_name, in_slices, sample_cut
 
 
 FEATURES = ("log_words", "mean_word", "long_words", "symbol_rate", "pipe_words", "shout_words", "bang_rate", "digit_rate", "punct_rate", "distinct_rate", "top_word_rate", "repeat_pairs", "line_words", "dup_lines", "upper_rate", "capital_words", "non_ascii", "deflated")
@@ -169,7 +169,7 @@ def text_features(docs: DataFrame, text_col: str, carry: list[str]) -> DataFrame
     source = docs.select(*carry, F.col(text_col).cast("string").alias(free_name(docs, "_text")))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             found = [features(t or "") for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.list_(pa.float64()))], names=[*carry, "features"])
 
@@ -208,7 +208,7 @@ def score_quality(docs: DataFrame, model: GamModel, text_col: str = "text", carr
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: a few tables of at most 32 or 64 numbers
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             x = np.array([features(t or "") for t in batch.column(batch.num_columns - 1).to_pylist()], float).reshape(-1, len(FEATURES))
             scores = shared.value.score(x)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64()), pa.array((scores >= 0.5).astype(np.int32), pa.int32())], names=[*names, "score", "predicted"])

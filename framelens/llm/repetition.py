@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import free_name
+from .common import free_name, in_slices
 
 
 #: Fixed values of the base rules.
@@ -171,7 +171,7 @@ def repetition_report(docs: DataFrame, text_col: str = "text", into: str = "repe
     arrow_type = pa.struct([pa.field(f.name, pa.bool_() if isinstance(f.dataType, T.BooleanType) else pa.int64() if isinstance(f.dataType, T.LongType) else pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))) for f in REPORT])
 
     def analyse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             at = 0
             for texts in _chunks([t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]):
                 found = pa.array(_reports(texts, min_words, max_covered, max_longest), arrow_type)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, stored, text_of
+from .common import free_name, in_slices, stored, text_of
 from .components import connected_components
 
 SEED = 42
@@ -68,7 +68,7 @@ def simhash(docs: DataFrame, text_col: str = "text", into: str = "fp", shingle:
     source = docs.select(*[docs[c] for c in names], docs[text_col].cast("string").alias(free_name(docs, "_text")))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             texts = batch.column(batch.num_columns - 1)
             found = pa.array([_signed(fingerprint(t or "", shingle)) for t in texts.to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], names=[*names, into])
@@ -188,7 +188,7 @@ def _link_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
 def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, shard_limit: int) -> DataFrame:
     """Each row's id, a hash of its text, fingerprint, the smallest fingerprint of its component and the smallest id."""
     keyed = docs.select(F.col(id_col), F.xxhash64(text_of(text_col)).alias("text_hash"), F.col(text_col))
-    prints = stored(simhash(keyed, text_col, "fp", shingle, [id_col, "text_hash"]), "simhash")
+    prints = stored(simhash(keyed, text_col, "fp", shingle, [id_col, "text_hash"]), "simhash", texts=True)
     nodes = prints.groupBy("fp").agg(F.min(id_col).alias("least"))
     roots = connected_components(near_links(nodes.select("fp"), radius, shard_limit))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))

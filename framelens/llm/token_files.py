@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, order_id, scratch_path, shuffle_partitions, stored, text_of
+from .common import NULL_ID, in_slices, order_id, scratch_path, shuffle_partitions, stored, text_of
 from .tokens import ID_BYTES, encoder
 
 MAGIC, INDEX_MAGIC = b"FLIDS1", b"FLIDX2"
@@ -220,7 +220,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
     end = end_id.to_bytes(ID_BYTES, "little")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = next((b for b in batches if b.num_rows), None)
+        batches = in_slices(batches)
+        first = next(batches, None)
         if first is None:
             return
         encode = encoder(tokenizer_path)
@@ -251,7 +252,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
         types = (pa.int32(), *(pa.bool_(), pa.int64(), pa.int64()) * 2, pa.int64(), pa.int64(), pa.string(), pa.string())
         yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=[f.split()[0] for f in MANIFEST.split(", ")])
 
-    written = stored(dealt.mapInArrow(write, MANIFEST), "manifest")
+    written = stored(dealt.mapInArrow(write, MANIFEST), "manifest", texts=True)
     # Rows that share an id are neighbours, so a shard before that has some ends in them.
     ends = written.select("shard", F.col("last_known").alias("known"), F.col("last_id").alias("id"), F.lit(1).alias("end"), F.col("tail").alias("rows"))
     starts = written.select("shard", F.col("first_known").alias("known"), F.col("first_id").alias("id"), F.lit(0).alias("end"), F.lit(0).cast("long").alias("rows"))
