@@ -236,6 +236,15 @@ def rotated_from_distances(anchor_x: Column, anchor_y: Column, left: Column, top
     return RotatedBox(anchor_x + dx * F.cos(angle) - dy * F.sin(angle), anchor_y + dx * F.sin(angle) + dy * F.cos(angle), left + right, top + bottom, angle)
 
 
+def rotated_to_distances(anchor_x: Column, anchor_y: Column, r: RotatedBox, top: float | None = None) -> tuple[Column, ...]:
+    """Distances from an anchor to a rotated box's sides along its own axes, kept below ``top`` if given."""
+    cos, sin = F.cos(r.angle), F.sin(r.angle)
+    dx, dy = anchor_x - r.cx, anchor_y - r.cy
+    along, across = dx * cos + dy * sin, dy * cos - dx * sin
+    d = (r.w / 2 + along, r.h / 2 + across, r.w / 2 - along, r.h / 2 - across)
+    return d if top is None else tuple(F.least(F.greatest(x, F.lit(0.0)), F.lit(top - 0.01)) for x in d)
+
+
 def candidate(before: Box, after: Box, min_side: float = 2, max_aspect: float = 100, min_area: float = 0.1, eps: float = 1e-16) -> Column:
     """Whether a transformed box is still worth keeping."""
     aspect = F.greatest(after.width / (after.height + eps), after.height / (after.width + eps))

@@ -14,6 +14,7 @@ from framelens.operators import augment, curves, etl, manifest, matching, metric
 from framelens.sources.coco import read_labels_json
 from framelens.streaming.tracker import track_batch
 
+from . import geometry
 from .views import annotations, detections, frames, ground_truth, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -488,3 +489,6 @@ def letterbox_gain(spark, sf):
     w, h = (F.col("p_size") * 10 + 5).cast("double"), (F.col("p_partkey") % 37 * 10 + 8).cast("double")
     gain, px, py = bx.letterbox(w, h, F.lit(640.0), F.lit(480.0))
     return table(spark, sf, "part").select("p_partkey", F.round(gain, 6).alias("gain"), px.alias("pad_x"), py.alias("pad_y"))
+
+
+QUERIES.update(geometry.entries.queries)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import geometry
 from .views import ANN, FRAMES, sql_area, sql_inter, sql_iou
 
 ZONE_IN = "(cx > 30 AND cx < 80 AND cy > 50 AND cy < 150)"
@@ -311,3 +312,5 @@ WITH {ANN} SELECT image, i FROM ann a WHERE conf > 0.1 AND NOT EXISTS (SELECT 1
 WITH s AS (SELECT p_partkey, (p_size * 10 + 5)::DOUBLE AS w, (p_partkey % 37 * 10 + 8)::DOUBLE AS h FROM part), g AS (SELECT *, least(480 / h, 640 / w) AS gain FROM s)
 SELECT p_partkey, round(gain, 6) AS gain, round_even((640 - round_even(w * gain, 0)) / 2 - 0.1::DOUBLE, 0) AS pad_x, round_even((480 - round_even(h * gain, 0)) / 2 - 0.1::DOUBLE, 0) AS pad_y FROM g""",
 }
+
+ORACLE_SQL.update(geometry.entries.statements)
