@@ -167,10 +167,15 @@ def padded_names(rows: DataFrame, stem: str, start: int, width: int = 4) -> Data
     return numbered.withColumn("new_stem", F.lpad(F.col("_n").cast("string"), width, "0")).drop("_k", "_n")
 
 
+def with_numeric_key(rows: DataFrame, stem: str) -> DataFrame:
+    """Adds ``not_a_number`` and ``number``: in their order and that of the stem numeric stems come first, by number."""
+    number = F.expr(f"try_cast(`{stem}` AS bigint)")
+    return rows.withColumns({"not_a_number": number.isNull(), "number": number})
+
+
 def numeric_first(rows: DataFrame, stem: str) -> DataFrame:
     """Numeric stems by number, then the others by name."""
-    number = F.expr(f"try_cast(`{stem}` AS bigint)")
-    return rows.orderBy(number.isNull(), number, stem)
+    return with_numeric_key(rows, stem).orderBy("not_a_number", "number", stem).drop("not_a_number", "number")
 
 
 def batch_shapes(images: DataFrame, width: str, height: str, key: str, batch: int, size: int = 640, stride: int = 32, pad: float = 0.5) -> DataFrame:

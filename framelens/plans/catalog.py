@@ -14,7 +14,7 @@ from framelens.operators import augment, curves, etl, manifest, matching, metric
 from framelens.sources.coco import read_labels_json
 from framelens.streaming.tracker import track_batch
 
-from . import geometry
+from . import datasets, geometry
 from .views import annotations, detections, frames, ground_truth, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -491,4 +491,5 @@ def letterbox_gain(spark, sf):
     return table(spark, sf, "part").select("p_partkey", F.round(gain, 6).alias("gain"), px.alias("pad_x"), py.alias("pad_y"))
 
 
-QUERIES.update(geometry.entries.queries)
+for part in (geometry, datasets):
+    QUERIES.update(part.entries.queries)

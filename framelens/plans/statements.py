@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import geometry
+from . import datasets, geometry
 from .views import ANN, FRAMES, sql_area, sql_inter, sql_iou
 
 ZONE_IN = "(cx > 30 AND cx < 80 AND cy > 50 AND cy < 150)"
@@ -313,4 +313,6 @@ WITH s AS (SELECT p_partkey, (p_size * 10 + 5)::DOUBLE AS w, (p_partkey % 37 * 1
 SELECT p_partkey, round(gain, 6) AS gain, round_even((640 - round_even(w * gain, 0)) / 2 - 0.1::DOUBLE, 0) AS pad_x, round_even((480 - round_even(h * gain, 0)) / 2 - 0.1::DOUBLE, 0) AS pad_y FROM g""",
 }
 
-ORACLE_SQL.update(geometry.entries.statements)
+ORACLE_SQL["pr_best_f1"] = f"WITH {datasets.BEST_F1} SELECT cls, point::INT AS point, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM f1 JOIN top USING (point)"
+for part in (geometry, datasets):
+    ORACLE_SQL.update(part.entries.statements)
