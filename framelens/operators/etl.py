@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ordered import running_sums
-from .shared import checkpointed
+from .shared import written
 
 
 def hash_order(seed: str | int, *keys: str) -> Column:
@@ -23,7 +23,7 @@ def in_ranges(rows: DataFrame, order: list[str]) -> DataFrame:
     """``rows`` with ``_step``, the number of a range of the whole order, which is cut into as many as the shuffle has
     partitions. Spark samples the bounds, so the rows are written before anyone relies on them. Nulls come first."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return checkpointed(rows.repartitionByRange(n, *[F.col(c) for c in order]).withColumn("_step", F.spark_partition_id()))
+    return written(rows.repartitionByRange(n, *[F.col(c) for c in order]).withColumn("_step", F.spark_partition_id()))
 
 
 def dense_numbers(rows: DataFrame, order: list[str], into: str, start: int = 1) -> DataFrame:
@@ -62,7 +62,7 @@ def allocate(strata: DataFrame, total: int, stratum: str = "signature", size: st
     at each distinct room; the last, partial round goes to the first that still have room. Class signatures may be very
     many, so no task sees them all: rooms meet as a histogram, which has at most the root of twice the images in rows.
     """
-    strata = checkpointed(strata)
+    strata = written(strata)
     n = strata.agg(F.sum(size)).first()[0] or 0
     base = strata.withColumn("_base", F.least(F.greatest(F.lit(1), F.bround(F.col(size) * total / F.lit(n or 1))), F.col(size)).cast("long"))
     left = total - (base.agg(F.sum("_base")).first()[0] or 0)
