@@ -66,7 +66,7 @@ def in_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 @contextmanager
-def _small_batches(spark: SparkSession) -> Iterator[None]:
+def small_batches(spark: SparkSession) -> Iterator[None]:
     """Smaller Arrow batches while a block runs; the session is then as it was."""
     before = int(spark.conf.get(BATCH_KEY))
     spark.conf.set(BATCH_KEY, str(min(before, TEXT_ROWS) if before > 0 else TEXT_ROWS))
@@ -84,7 +84,7 @@ def stored(df: DataFrame, label: str, texts: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    with _small_batches(spark) if texts else nullcontext():
+    with small_batches(spark) if texts else nullcontext():
         df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._framelens_path = path

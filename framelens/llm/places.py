@@ -8,6 +8,7 @@ each file it meets. A place doesn't depend on how files are split, so the passes
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import nullcontext
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, scratch_path, stored
+from .common import free_name, scratch_path, small_batches, stored
 
 #: Plans that keep rows and places of the scan below them.
 _ROW_BY_ROW = ("Project", "Filter", "SubqueryAlias", "View")
@@ -38,10 +39,14 @@ def place_of(docs: DataFrame) -> tuple[Column, Column]:
     return F.xxhash64(meta.getField("file_path")), meta.getField("row_index")
 
 
-def shelve(lists: DataFrame, label: str) -> str:
-    """Writes rows with ``file`` and ``row`` and other columns, sorted by row in a list for each file; its path."""
+def shelve(lists: DataFrame, label: str, texts: bool = False) -> str:
+    """Writes rows with ``file`` and ``row`` and other columns, sorted by row in a list for each file; its path.
+
+    ``texts`` is that of :func:`framelens.llm.common.stored`.
+    """
     path = scratch_path(lists.sparkSession, label)
-    lists.repartition("file").sortWithinPartitions("file", "row").write.partitionBy("file").parquet(path)
+    with small_batches(lists.sparkSession) if texts else nullcontext():
+        lists.repartition("file").sortWithinPartitions("file", "row").write.partitionBy("file").parquet(path)
     return path
 
 

@@ -1,11 +1,14 @@
 """Substring dedup: Rabin-Karp hashes of every window of words, counted across the corpus.
 
-Documents are dealt into groups by id. A group hashes each of its windows with one polynomial over word hashes, in
-64 bits. Of the windows that repeat inside the group, only those in the smallest document travel on: the
-others are known to go. So a passage that a third of all documents share travels once for each group, not for
-each document. The travelling hashes are packed by hash range into compressed-friendly byte planes (no row for each
-window), and every range finds the smallest document of each hash. What is to go returns to the groups as window
-starts, where overlapping windows merge into maximal intervals and the words in them are left out.
+The texts are read in chunks of neighbouring rows. Each window of a chunk is hashed with two polynomials over word hashes,
+96 bits together, at which false equalities are not to be expected among 10**13 windows. Of the windows that
+repeat inside the chunk, only those in the smallest document travel on: the others are known to go. So a passage that a
+third of all documents share travels once for each chunk, not for each document. The travelling hashes are packed by
+hash range into compressed-friendly byte planes (no row for each window), and every range finds the smallest document
+of each hash. What is to go is written as window starts to a shelf by places in the files; the second pass over the
+texts reads it, merges overlapping windows into maximal intervals and leaves out the words in them.
+
+The texts themselves are never shuffled, and no chunk depends on ids, so rows that share one id are spread like others.
 """
 
 from __future__ import annotations
@@ -18,23 +21,26 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import order_id, shuffle_partitions, text_of
+from .common import in_slices, order_id, shuffle_partitions, text_of
+from .places import Shelf, in_files, place_of, shelve
 
 #: An odd multiplier for the polynomial, and one for the final mix; fixed so that results repeat.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xFF51AFD7ED558CCD)
+#: The same for the second hash.
+BASE2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
-CHARS_IN_GROUP = 5 << 20
+#: Characters and rows of a chunk, and characters whose windows make up a range.
+CHARS_IN_CHUNK, ROWS_IN_BLOCK = 5 << 20, 4096
 CHARS_IN_RANGE = 12 << 20
-RANGE_BITS = 16
 
 
-def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
+def window_hashes(words: np.ndarray, width: int, base: np.uint64 = BASE) -> np.ndarray:
     """The hash of the window from each place of an array of word hashes, modulo 2**64."""
     n = len(words) - width + 1
     value = np.zeros(max(n, 0), np.uint64)
     for j in range(width if n > 0 else 0):
-        value = value * BASE + words[j : j + n]
+        value = value * base + words[j : j + n]
     value ^= value >> np.uint64(32)
     value *= MIX
     return value ^ (value >> np.uint64(29))
@@ -50,16 +56,15 @@ def unplanes(data: memoryview, dtype: str, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data[: n * size], np.uint8).reshape(size, n).T).view(dtype).ravel()
 
 
-class Group:
-    """The documents of a group in order of id, as one sequence of words."""
+class Chunk:
+    """Rows of one block of a file in order of id, as one sequence of words."""
 
-    def __init__(self, table: pa.Table, width: int) -> None:
-        ids, texts = table["_id"].to_pylist(), table["_text"].to_pylist()
-        self.rows = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
-        self.ids = np.array([ids[i] for i in self.rows], np.int64)
+    def __init__(self, ids: list[int], texts: list[str], rows: list[int], width: int) -> None:
+        order = sorted(range(len(ids)), key=lambda i: ids[i])
+        self.ids, self.rows = np.array([ids[i] for i in order], np.int64), np.array([rows[i] for i in order], np.int64)
         self.words: list[bytes] = []
         sizes = []
-        for i in self.rows:
+        for i in order:
             words = texts[i].encode("utf-8", "replace").split()
             self.words += words
             sizes.append(len(words))
@@ -67,114 +72,151 @@ class Group:
         self.ends = np.cumsum(self.sizes)
         self.width = width
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray]:
-        """Places and hashes of the windows inside one document."""
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places and both hashes of the windows inside one document."""
         number: dict[bytes, int] = {}
         codes = np.array([number.setdefault(w, len(number)) for w in self.words], np.int64)
-        distinct = np.array([xxhash.xxh64_intdigest(w) for w in number], np.uint64)
-        hashes = window_hashes(distinct[codes] if len(codes) else np.zeros(0, np.uint64), self.width)
         doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        places = np.flatnonzero(doc[: len(hashes)] == doc[self.width - 1 :]) if len(hashes) else np.zeros(0, np.int64)
-        return places, hashes[places]
+        if len(codes) < self.width:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        places = np.flatnonzero(doc[: len(codes) - self.width + 1] == doc[self.width - 1 :])
+        first, second = (window_hashes(np.array([xxhash.xxh64_intdigest(w, seed) for w in number], np.uint64)[codes], self.width, base)[places] for seed, base in ((0, BASE), (1, BASE2)))
+        return places, first, (second >> np.uint64(32)).astype(np.uint32)
 
     def doc_at(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ends, places, side="right")
 
 
-def _pack_starts(places: np.ndarray) -> bytes:
-    """Sorted places as runs: first places and lengths."""
-    cut = np.flatnonzero(np.diff(places) != 1) + 1
+def _smallest(hashes: np.ndarray, more: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal windows together, smallest ids first, and the smallest id of each in that order."""
+    order = np.lexsort((ids, more, hashes))
+    a, b = hashes[order], more[order]
+    head = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(order) else np.zeros(0, bool)
+    return order, ids[order[np.flatnonzero(head)]][np.cumsum(head) - 1] if len(order) else ids
+
+
+def _pack_starts(docs: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> bytes:
+    """Window starts by document, sorted by document and start: rows, runs of each, first starts and lengths."""
+    cut = np.flatnonzero((np.diff(docs) != 0) | (np.diff(starts) != 1)) + 1
     first = np.r_[0, cut].astype(np.int64)
-    lengths = np.diff(np.r_[first, len(places)]).astype(np.uint32)
-    starts = places[first].astype(np.int64)
-    return len(first).to_bytes(8, "little") + planes(np.diff(starts, prepend=0).astype(np.int64)) + planes(lengths)
-
-
-def _unpack_starts(data: bytes) -> np.ndarray:
-    n, view = int.from_bytes(data[:8], "little"), memoryview(data)[8:]
-    starts, lengths = np.cumsum(unplanes(view, "<i8", n)), unplanes(view[8 * n :], "<u4", n).astype(np.int64)
-    total = np.repeat(starts - np.r_[0, np.cumsum(lengths)[:-1]], lengths)
-    return total + np.arange(len(total))
-
-
-def _hash_group(table: pa.Table, width: int, ranges: int) -> pa.Table:
-    """What a group sends: hashes of the smallest document's windows by range, and the starts that are known to go."""
-    group, number = Group(table, width), table["_group"][0].as_py()
-    places, hashes = group.windows()
-    group.words = []
-    order = np.argsort(hashes, kind="stable")
-    ordered = hashes[order]
-    head = np.r_[True, ordered[1:] != ordered[:-1]] if len(order) else np.zeros(0, bool)
-    ids = group.ids[group.doc_at(places)]
-    first_id = ids[order[np.flatnonzero(head)]][np.cumsum(head) - 1] if len(order) else ids
-    local = np.sort(places[order[ids[order] > first_id]])
-    out: list[tuple] = [(number % ranges, number, 1, _pack_starts(local))] if len(local) else []
-    first = order[ids[order] == first_id]
-    bucket = (hashes[first] >> np.uint64(64 - RANGE_BITS)).astype(np.int64) * ranges >> RANGE_BITS
-    first = first[np.lexsort((first, bucket))]
-    bucket = (hashes[first] >> np.uint64(64 - RANGE_BITS)).astype(np.int64) * ranges >> RANGE_BITS
-    edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(first) else []
+    lengths = np.diff(np.r_[first, len(starts)]).astype(np.uint32)
+    own, runs = np.unique(docs[first], return_counts=True)
+    head = len(own).to_bytes(8, "little") + len(first).to_bytes(8, "little")
+    return head + planes(rows[own]) + planes(runs.astype(np.uint32)) + planes(starts[first].astype(np.int64)) + planes(lengths)
+
+
+def _unpack_starts(data: bytes) -> dict[int, np.ndarray]:
+    """The window starts of each row."""
+    docs, n, view = int.from_bytes(data[:8], "little"), int.from_bytes(data[8:16], "little"), memoryview(data)[16:]
+    rows, view = unplanes(view, "<i8", docs), view[8 * docs :]
+    runs, view = unplanes(view, "<u4", docs).astype(np.int64), view[4 * docs :]
+    first, lengths = unplanes(view, "<i8", n), unplanes(view[8 * n :], "<u4", n).astype(np.int64)
+    out, at = {}, 0
+    for row, k in zip(rows.tolist(), runs.tolist()):
+        f, m = first[at : at + k], lengths[at : at + k]
+        out[row] = np.repeat(f - np.r_[0, np.cumsum(m)[:-1]], m) + np.arange(m.sum())
+        at += k
+    return out
+
+
+SENT = "range long, file long, row long, kind int, payload binary"
+
+
+def _told(out: list[tuple]) -> pa.RecordBatch:
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(types)], names=[f.split()[0] for f in SENT.split(", ")])
+
+
+def _send(chunk: Chunk, file: int, block: int, ranges: int) -> Iterator[tuple]:
+    """What a chunk sends: hashes of the smallest document's windows by range, and the starts that are known to go."""
+    places, hashes, more = chunk.windows()
+    if not len(places):
+        return
+    doc = chunk.doc_at(places)
+    starts, ids = places - (chunk.ends - chunk.sizes)[doc], chunk.ids[doc]
+    order, least = _smallest(hashes, more, ids)
+    gone = np.sort(order[ids[order] > least])
+    if len(gone):
+        yield (block + file) % ranges, file, block, 1, _pack_starts(doc[gone], starts[gone], chunk.rows)
+    first = np.sort(order[ids[order] == least])
+    bucket = ((hashes[first] >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+    turn = np.argsort(bucket, kind="stable")
+    first, bucket = first[turn], bucket[turn]
+    edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
     for a, b in zip(edges, [*edges[1:], len(first)]):
         here = first[a:b]
-        docs, counts = np.unique(group.doc_at(places[here]), return_counts=True)
-        head_bytes = len(docs).to_bytes(8, "little") + len(here).to_bytes(8, "little")
-        payload = head_bytes + planes(group.ids[docs]) + planes(counts.astype(np.uint32)) + planes(np.diff(places[here], prepend=0)) + planes(hashes[here])
-        out.append((int(bucket[a]), number, 0, payload))
-    return pa.table([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.binary()))], names=["_range", "_group", "_kind", "_payload"])
+        docs, counts = np.unique(doc[here], return_counts=True)
+        head = len(docs).to_bytes(8, "little") + len(here).to_bytes(8, "little")
+        body = (chunk.ids[docs], chunk.rows[docs], counts.astype(np.uint32), np.diff(starts[here], prepend=0).astype(np.int32), hashes[here], more[here])
+        yield int(bucket[a]), file, block, 0, head + b"".join(map(planes, body))
 
 
 def _join_range(table: pa.Table) -> pa.Table:
-    """The window starts of each group whose hash stands in a smaller document; known starts pass through."""
-    sent: list[tuple[int, bytes]] = []
-    hashes, ids, groups, places = [], [], [], []
-    for group, kind, payload in zip(*(table[c].to_pylist() for c in ("_group", "_kind", "_payload"))):
+    """The window starts of each block whose hash stands in a smaller document; known starts pass through."""
+    sent: list[tuple[int, int, bytes]] = []
+    parts: list[tuple] = []
+    sources: list[tuple[int, int, np.ndarray]] = []
+    for file, block, kind, payload in zip(*(table[c].to_pylist() for c in ("file", "row", "kind", "payload"))):
         if kind == 1:
-            sent.append((group, payload))
+            sent.append((file, block, payload))
             continue
         docs, n, view = int.from_bytes(payload[:8], "little"), int.from_bytes(payload[8:16], "little"), memoryview(payload)[16:]
-        own, view = unplanes(view, "<i8", docs), view[8 * docs :]
-        counts, view = unplanes(view, "<u4", docs), view[4 * docs :]
-        ids.append(np.repeat(own, counts))
-        places.append(np.cumsum(unplanes(view, "<i8", n)))
-        hashes.append(unplanes(view[8 * n :], "<u8", n))
-        groups.append(np.full(n, group, np.int32))
-    if hashes:
-        hash_, id_, group_, place = map(np.concatenate, (hashes, ids, groups, places))
-        order = np.lexsort((id_, hash_))
-        ordered = hash_[order]
-        head = np.r_[True, ordered[1:] != ordered[:-1]]
-        smallest = id_[order[np.flatnonzero(head)]][np.cumsum(head) - 1]
-        gone = order[id_[order] > smallest]
-        gone = gone[np.lexsort((place[gone], group_[gone]))]
-        edges = np.flatnonzero(np.r_[True, np.diff(group_[gone]) != 0]) if len(gone) else []
+        columns = []
+        for dtype, size in (("<i8", docs), ("<i8", docs), ("<u4", docs), ("<i4", n), ("<u8", n), ("<u4", n)):
+            columns.append(unplanes(view, dtype, size))
+            view = view[np.dtype(dtype).itemsize * size :]
+        ids, rows, counts, starts, hashes, more = columns
+        number = np.repeat(np.arange(docs, dtype=np.int32), counts)
+        parts.append((hashes, more, ids[number], np.full(n, len(sources), np.int32), number, np.cumsum(starts, dtype=np.int32)))
+        sources.append((file, block, rows))
+    if parts:
+        hashes, more, ids, source, doc, starts = map(np.concatenate, zip(*parts))
+        order, least = _smallest(hashes, more, ids)
+        gone = order[ids[order] > least]
+        gone = gone[np.lexsort((starts[gone], doc[gone], source[gone]))]
+        edges = np.flatnonzero(np.r_[True, np.diff(source[gone]) != 0]) if len(gone) else []
         for a, b in zip(edges, [*edges[1:], len(gone)]):
-            sent.append((int(group_[gone[a]]), _pack_starts(place[gone[a:b]])))
-    return pa.table([pa.array([x[0] for x in sent], pa.int32()), pa.array([x[1] for x in sent], pa.binary())], names=["_group", "_payload"])
-
-
-def _clean_group(table: pa.Table, starts: pa.Table, width: int, id_name: str) -> pa.Table:
-    if not table.num_rows:
-        return pa.table([pa.array([], t) for t in OUT_TYPES], names=[id_name, *OUT_NAMES])
-    group = Group(table, width)
-    edge = np.zeros(len(group.words) + 1, np.int64)
-    for payload in starts["_payload"].to_pylist():
-        places = _unpack_starts(payload)
+            file, block, rows = sources[source[gone[a]]]
+            sent.append((file, block, _pack_starts(doc[gone[a:b]], starts[gone[a:b]], rows)))
+    return pa.table([pa.array([x[i] for x in sent], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["file", "row", "payload"])
+
+
+def _clean(text: str, starts: list[np.ndarray], width: int) -> tuple[int, int, str, list[dict]]:
+    """Numbers of words and of removed ones, the text that is left and the removed intervals."""
+    words = text.encode("utf-8", "replace").split()
+    if not starts:
+        return len(words), 0, b" ".join(words).decode(), []
+    edge = np.zeros(len(words) + 1, np.int64)
+    for places in starts:
         np.add.at(edge, places, 1)
         np.add.at(edge, places + width, -1)
     gone = np.cumsum(edge[:-1]) > 0
-    known, out, at = table["_known"].to_pylist(), [], 0
-    for i, row in enumerate(group.rows):
-        n = int(group.sizes[i])
-        mask = gone[at : at + n]
-        words = group.words[at : at + n]
-        bounds = np.flatnonzero(np.diff(np.r_[False, mask, False])).reshape(-1, 2)
-        kept = [w for w, g in zip(words, mask.tolist()) if not g] if len(bounds) else words
-        out.append((int(group.ids[i]) if known[row] else None, n, int(mask.sum()), b" ".join(kept).decode(), [{"start": int(s), "end": int(e)} for s, e in bounds]))
-        at += n
-    return pa.table([pa.array([x[i] for x in out], t) for i, t in enumerate(OUT_TYPES)], names=[id_name, *OUT_NAMES])
-
-
-OUT_NAMES = ("n_words", "n_removed", "kept_text", "removed")
+    bounds = np.flatnonzero(np.diff(np.r_[False, gone, False])).reshape(-1, 2)
+    kept = [w for w, g in zip(words, gone.tolist()) if not g]
+    return len(words), int(gone.sum()), b" ".join(kept).decode(), [{"start": int(s), "end": int(e)} for s, e in bounds]
+
+
+class _Gone(Shelf):
+    """The starts that are on the shelf for the rows of a block, of which the last is remembered."""
+
+    def __init__(self, path: str, block_rows: int) -> None:
+        super().__init__(path)
+        self.block_rows, self.block, self.starts = block_rows, None, {}
+
+    def starts_of(self, file: int, row: int) -> list[np.ndarray]:
+        block = row // self.block_rows
+        if (file, block) != self.block:
+            self.block, self.starts = (file, block), {}
+            entries = self.of(file)
+            if entries is not None:
+                blocks = entries["row"].to_numpy()
+                low, high = np.searchsorted(blocks, [block, block + 1])
+                for payload in entries["payload"].slice(low, high - low).to_pylist():
+                    for r, starts in _unpack_starts(payload).items():
+                        self.starts.setdefault(r, []).append(starts)
+        return self.starts.get(row, [])
+
+
 OUT_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
 
 
@@ -184,24 +226,42 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     Returns the id, ``n_words``, ``n_removed``, ``kept_text`` (the words left, joined by a space) and ``removed``,
     the maximal intervals of removed words. Windows are judged on the input.
 
-    Words are runs without ASCII white space, unchanged. A null text has none. A null id is smaller than all others.
-    Rows with one id are one document with itself: none of them removes a window from another. An empty table gives
-    no rows. Windows that agree in the 64-bit hash count as equal.
+    Words are runs without ASCII white space, unchanged. A null text has none; a very long one is a chunk of its own. A
+    null id is smaller than all others. Rows with one id are one document with itself: none of them removes a window
+    from another. An empty table gives no rows. Windows that agree in 96 bits of hashes count as equal. Columns but
+    those two are never read. A table that is not read row by row from Parquet files is stored first.
     """
-    spark = docs.sparkSession
-    source = docs.select(F.col(id_col).isNotNull().alias("_known"), order_id(id_col).alias("_id"), text_of(text_col).alias("_text"))
-    chars = source.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    groups = max(shuffle_partitions(spark), -(-chars // CHARS_IN_GROUP))
-    ranges = min(1 << RANGE_BITS, max(shuffle_partitions(spark), -(-chars // CHARS_IN_RANGE)))
-    grouped = source.select(F.pmod(F.xxhash64("_id"), F.lit(groups)).cast("int").alias("_group"), "_known", "_id", "_text")
-
-    def hash_group(table: pa.Table) -> pa.Table:
-        return _hash_group(table, width, ranges)
-
-    def clean_group(table: pa.Table, starts: pa.Table) -> pa.Table:
-        return _clean_group(table, starts, width, id_col)
-
-    sent = grouped.groupBy("_group").applyInArrow(hash_group, "_range int, _group int, _kind int, _payload binary")
-    starts = sent.groupBy("_range").applyInArrow(_join_range, "_group int, _payload binary")
-    schema = f"`{id_col}` long, n_words long, n_removed long, kept_text string, removed array<struct<start:int,end:int>>"
-    return grouped.groupBy("_group").cogroup(starts.groupBy("_group")).applyInArrow(clean_group, schema)
+    docs = in_files(docs)
+    file, row = place_of(docs)
+    source = docs.select(F.col(id_col).isNotNull().alias("known"), order_id(id_col).alias("id"), text_of(text_col).alias("text"), file.alias("file"), row.alias("row"))
+    chars = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(shuffle_partitions(docs.sparkSession), -(-chars // CHARS_IN_RANGE))
+    block_rows, chunk_chars = ROWS_IN_BLOCK, CHARS_IN_CHUNK
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, ids, texts, rows, size = None, [], [], [], 0
+        for batch in in_slices(batches):
+            for id_, text, file, row in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3, 4))):
+                block = (file, row // block_rows)
+                if ids and (block != here or size + len(text) > chunk_chars):
+                    yield _told(list(_send(Chunk(ids, texts, rows, width), *here, ranges)))
+                    ids, texts, rows, size = [], [], [], 0
+                here, size = block, size + len(text)
+                ids.append(id_)
+                texts.append(text)
+                rows.append(row)
+        if ids:
+            yield _told(list(_send(Chunk(ids, texts, rows, width), *here, ranges)))
+
+    starts = source.mapInArrow(send, SENT).groupBy("range").applyInArrow(_join_range, "file long, row long, payload binary")
+    path = shelve(starts, "window-starts", texts=True)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gone = _Gone(path, block_rows)
+        for batch in in_slices(batches):
+            out = []
+            for known, id_, text, file, row in zip(*(c.to_pylist() for c in batch.columns)):
+                out.append((id_ if known else None, *_clean(text, gone.starts_of(file, row), width)))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(OUT_TYPES)], names=[id_col, "n_words", "n_removed", "kept_text", "removed"])
+
+    return source.mapInArrow(clean, f"`{id_col}` long, n_words long, n_removed long, kept_text string, removed array<struct<start:int,end:int>>")

@@ -16,6 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from framelens.llm import near_copies as near
+from framelens.llm import substring_dedup
 from framelens.llm.common import shared_dir
 from framelens.llm.components import connected_components
 from framelens.llm.near_copies import drop_near_duplicates, near_copies, shard_groups, shingle_hashes, sketch
@@ -430,6 +431,23 @@ def test_removal_against_brute_force(spark, odd, sample, none):
     assert remove_repeated_windows(none).count() == 0
 
 
+def test_removal_over_many_chunks_and_ranges(spark, monkeypatch):
+    """Rows of one id and rows that repeat over all chunks, in files with several blocks, against brute force."""
+    rng = random.Random(14)
+    shared = [" ".join(f"p{k}x{i}" for i in range(30)) for k in range(6)]
+    rows = []
+    for i in range(400):
+        parts = [shared[rng.randrange(6)] if rng.random() < 0.5 else " ".join(f"u{rng.randrange(10**6)}" for _ in range(20)) for _ in range(rng.randint(0, 4))]
+        rows.append((rng.choice((7, 7, None, i)), " ".join(parts)))
+    rows += rows[:150]
+    monkeypatch.setattr(substring_dedup, "ROWS_IN_BLOCK", 16)
+    monkeypatch.setattr(substring_dedup, "CHARS_IN_CHUNK", 1500)
+    monkeypatch.setattr(substring_dedup, "CHARS_IN_RANGE", 4000)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept_text.encode()).hexdigest()) for r in remove_repeated_windows(df).collect())
+    assert got == brute_removal(rows)
+
+
 def test_removed_intervals_are_maximal(spark):
     shared = " ".join(f"s{i}" for i in range(20))
     df = spark.createDataFrame([(1, shared), (2, f"a b {shared} c {shared}")], "doc_id long, text string")
