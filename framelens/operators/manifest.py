@@ -143,3 +143,66 @@ def crop_layers(width: int, height: int, layers: int, overlap: float) -> list[tu
         w, h = side(width), side(height)
         out += [(x := (w - shared) * i, y := (h - shared) * j, min(x + w, width), min(y + h, height), layer) for i in range(n) for j in range(n)]
     return out
+
+
+#: Fixed value: the class of pixels that don't count.
+IGNORED = 255
+
+
+def label_mapping(given: dict | None) -> dict[int, int]:
+    """Numbers to numbers from a mapping of a settings file, where null and 'ignore_label' stand for pixels that don't count."""
+    if given is None:
+        return {}
+    if not isinstance(given, dict):
+        raise TypeError(f"label_mapping takes a mapping, not {given!r}")
+    plain = lambda v: v.strip() if isinstance(v, str) else v
+    return {int(k): IGNORED if plain(v) in (None, "ignore_label") else int(v) for k, v in given.items()}
+
+
+def map_labels(label: Column, mapping: dict[int, int], inverse: bool = False) -> Column:
+    """Classes of pixels (0 to 255) under a mapping; those it doesn't name stay. Of several with one target the last is
+    its inverse, as a number of eight bits."""
+    table = {v: k & 0xFF for k, v in mapping.items()} if inverse else mapping
+    known = {k: v for k, v in table.items() if 0 <= k < 256}
+    if not known:
+        return label
+    pairs = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])
+    return F.coalesce(pairs[label.cast("int")], label.cast("int"))
+
+
+#: Endings of images that are read.
+IMAGE_FORMATS = ("avif", "bmp", "dng", "heic", "heif", "jp2", "jpeg", "jpeg2000", "jpg", "mpo", "png", "tif", "tiff", "webp")
+
+
+def image_fault(path: Column, width: Column, height: Column) -> Column:
+    """Why an image can't be used: its format, or a side under ten pixels; null for a sound one."""
+    ending = F.lower(F.regexp_extract(path, r"\.([^./]*)$", 1))
+    return F.when(width.isNull() | height.isNull(), "not readable").when((width < 10) | (height < 10), "too small").when(~ending.isin(*IMAGE_FORMATS), "unknown format")
+
+
+def inside_boxes(pixels: DataFrame, boxes: DataFrame, keys: list[str]) -> DataFrame:
+    """Pixels (u, v) of each mask inside its own box: from its left and top sides to before the others."""
+    joined = pixels.join(boxes.select(*keys, "x1", "y1", "x2", "y2"), keys)
+    return joined.where("u >= x1 AND u < x2 AND v >= y1 AND v < y2").select(*pixels.columns)
+
+
+def topmost(pixels: DataFrame, mask: str = "mask") -> DataFrame:
+    """image, pixel and the number (from 1, by falling size) of the smallest mask that holds it, where masks overlap."""
+    sizes = pixels.groupBy("image", mask).agg(F.count("*").alias("_n"))
+    numbered = sizes.withColumn("number", F.row_number().over(Window.partitionBy("image").orderBy(F.desc("_n"), mask)))
+    return pixels.join(numbered, ["image", mask]).groupBy("image", "pixel").agg(F.max("number").alias("number"))
+
+
+def smoothed_targets(eps: float = 0.1) -> tuple[float, float]:
+    """What a positive and a negative label become."""
+    return 1.0 - 0.5 * eps, 0.5 * eps
+
+
+def next_free_name(names: DataFrame, name: str, base: str) -> str:
+    """``base`` if no row has it, else that with the smallest free number from 2 on behind it."""
+    number = F.expr("try_cast(_n AS int)")
+    taken = names.select(F.col(name).alias("_x")).where(F.col("_x").startswith(base)).withColumn("_n", F.when(F.col("_x") == base, "1").otherwise(F.substring("_x", len(base) + 1, 1 << 20)))
+    used = taken.where(number > 0).select(number.alias("k")).distinct()
+    # The first number whose predecessor is used and that is not.
+    free = used.select((F.col("k") + 1).alias("k")).join(used, "k", "left_anti").agg(F.min("k")).first()[0]
+    return base if used.where("k = 1").isEmpty() else f"{base}{free}"

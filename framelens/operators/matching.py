@@ -29,8 +29,12 @@ def match_at_thresholds(dets: DataFrame, truth: DataFrame, thresholds: list[floa
     In two passes: each detection keeps its best ground truth of its class, then each ground truth the detection that
     comes first. A detection whose best ground truth goes to another gets none.
     """
+    return match_pairs(box_pairs(dets, truth), thresholds)
+
+
+def match_pairs(pairs: DataFrame, thresholds: list[float] | None = None) -> DataFrame:
+    """The same from pairs (image, cls, det, gt, iou) of any likeness: of masks, keypoints or rotated boxes."""
     levels = F.array(*[F.lit(float(t)) for t in thresholds or THRESHOLDS])
-    pairs = box_pairs(dets, truth)
     at = pairs.withColumn("threshold", F.explode(F.filter(levels, lambda t: F.col("iou") >= t)))
     # Both windows contain the join keys, so rows stay where the join put them.
     best = Window.partitionBy("image", "cls", "threshold", "det").orderBy(F.desc("iou"), "gt")

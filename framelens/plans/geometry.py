@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from framelens.functions import boxes as bx
 from framelens.functions import polygons, segments, vectors
-from framelens.operators import augment, manifest, multiview, search
+from framelens.operators import assignment, augment, curves, manifest, matching, multiview, search
 
 from .registry import Entries
-from .views import ANN, FRAMES, annotations, frames, sql_area, table
+from .precision import average_precision
+from .views import ANN, FRAMES, annotations, detections, frames, ground_truth, sql_area, table
 
 entries = Entries()
 entry = entries.add
@@ -328,3 +329,114 @@ def peeled_parts(spark, sf):
     grid = rows.groupBy("view", "u", "v", "label").agg(F.min("depth_mm").alias("depth_mm"))
     parts = multiview.peel(grid, 20.0, 3).groupBy("view", "part").agg(F.count("*").alias("n"))
     return parts.groupBy("view", "n").agg(F.count("*").alias("parts"))
+
+
+# Average precision over other likenesses, and assignment
+
+LEVELS = [0.3, 0.5, 0.75]
+
+
+def _joined(spark, sf):
+    return detections(spark, sf).alias("a").join(ground_truth(spark, sf).alias("b"), (F.col("a.image") == F.col("b.image")) & (F.col("a.cls") == F.col("b.cls")))
+
+
+def _precision(spark, sf, pairs):
+    out = curves.average_precision(detections(spark, sf), ground_truth(spark, sf), matching.match_pairs(pairs, LEVELS), LEVELS)
+    return out.select("cls", "threshold", "n_truth", F.round("ap", 6).alias("ap"))
+
+
+_KEYPOINT_PAIRS = f"""{ANN}, pairs AS (SELECT a.image, a.cls, a.det, a.conf, b.gt, ({_far('x1', 'y1', 'x1', 'y1', '0.15').replace(sql_area('a'), sql_area('b'))} + {_far('x2', 'y2', 'x2', 'y2', '0.25').replace(sql_area('a'), sql_area('b'))}) / (2 + 1e-7::DOUBLE) AS iou
+  FROM det a JOIN gt b ON a.image = b.image AND a.cls = b.cls)"""
+
+
+@entry(average_precision(_KEYPOINT_PAIRS))
+def keypoint_average_precision(spark, sf):
+    point = lambda s, x, y: F.struct(F.col(f"{s}.{x}").alias("x"), F.col(f"{s}.{y}").alias("y"), F.lit(1).alias("v"))
+    truth, found = (F.array(point(s, "x1", "y1"), point(s, "x2", "y2")) for s in ("b", "a"))
+    likeness = bx.keypoint_similarity(truth, found, bx.box("b.").area, [0.15, 0.25])
+    return _precision(spark, sf, _joined(spark, sf).select("a.image", "a.cls", "a.det", "b.gt", likeness.alias("iou")))
+
+
+_ROTATED_PAIRS = f"""{ANN},
+c AS (SELECT a.image, a.cls, a.det, a.conf, b.gt, pow(a.x2 - a.x1, 2) / 12 AS pa, pow(a.y2 - a.y1, 2) / 12 AS pb, pow(b.x2 - b.x1, 2) / 12 AS qa, pow(b.y2 - b.y1, 2) / 12 AS qb, a.x1 / 20 AS pt, b.x1 / 20 AS qt,
+  (a.x1 + a.x2) / 2 - (b.x1 + b.x2) / 2 AS dx, (a.y1 + a.y2) / 2 - (b.y1 + b.y2) / 2 AS dy FROM det a JOIN gt b ON a.image = b.image AND a.cls = b.cls),
+k AS (SELECT *, pa * cos(pt) * cos(pt) + pb * sin(pt) * sin(pt) AS a1, pa * sin(pt) * sin(pt) + pb * cos(pt) * cos(pt) AS b1, (pa - pb) * cos(pt) * sin(pt) AS c1,
+  qa * cos(qt) * cos(qt) + qb * sin(qt) * sin(qt) AS a2, qa * sin(qt) * sin(qt) + qb * cos(qt) * cos(qt) AS b2, (qa - qb) * cos(qt) * sin(qt) AS c2 FROM c),
+dt AS (SELECT *, (a1 + a2) * (b1 + b2) - (c1 + c2) * (c1 + c2) AS dd FROM k),
+bd AS (SELECT *, ((a1 + a2) * dy * dy + (b1 + b2) * dx * dx) / (dd + 1e-7::DOUBLE) * 0.25::DOUBLE + (c1 + c2) * -dx * dy / (dd + 1e-7::DOUBLE) * 0.5::DOUBLE
+  + ln(dd / (4 * sqrt(greatest(0, a1 * b1 - c1 * c1) * greatest(0, a2 * b2 - c2 * c2)) + 1e-7::DOUBLE) + 1e-7::DOUBLE) * 0.5::DOUBLE AS far FROM dt),
+pairs AS (SELECT image, cls, det, conf, gt, 1 - sqrt(1.0::DOUBLE - exp(-least(greatest(far, 1e-7::DOUBLE), 100)) + 1e-7::DOUBLE) AS iou FROM bd)"""
+
+
+@entry(average_precision(_ROTATED_PAIRS))
+def rotated_average_precision(spark, sf):
+    tilted = lambda s: bx.RotatedBox((F.col(f"{s}.x1") + F.col(f"{s}.x2")) / 2, (F.col(f"{s}.y1") + F.col(f"{s}.y2")) / 2, F.col(f"{s}.x2") - F.col(f"{s}.x1"), F.col(f"{s}.y2") - F.col(f"{s}.y1"), F.col(f"{s}.x1") / 20)
+    return _precision(spark, sf, _joined(spark, sf).select("a.image", "a.cls", "a.det", "b.gt", bx.gaussian_similarity(tilted("a"), tilted("b")).alias("iou")))
+
+
+_MASKS = """mk AS (SELECT DISTINCT l_orderkey % 500 AS image, l_linenumber % 2 AS odd, l_linenumber::BIGINT AS mask, l_partkey % 60 AS pixel FROM lineitem),
+size AS (SELECT image, odd, mask, count(*) AS n FROM mk GROUP BY 1, 2, 3),
+det AS (SELECT image, 'm' AS cls, mask AS det, (mask * 7 + image * 13) % 101 / 101.0::DOUBLE AS conf FROM size WHERE odd = 1), gt AS (SELECT image, 'm' AS cls, mask AS gt FROM size WHERE odd = 0),
+both_ AS (SELECT a.image, a.mask AS det, b.mask AS gt, count(*) AS n FROM mk a JOIN mk b ON a.image = b.image AND a.pixel = b.pixel AND a.odd = 1 AND b.odd = 0 GROUP BY 1, 2, 3),
+pairs AS (SELECT x.image, 'm' AS cls, x.det, conf, x.gt, x.n / (p.n + q.n - x.n + 1e-7::DOUBLE) AS iou FROM both_ x JOIN size p ON p.image = x.image AND p.mask = x.det JOIN size q ON q.image = x.image AND q.mask = x.gt JOIN det ON det.image = x.image AND det.det = x.det)"""
+
+
+@entry(average_precision(_MASKS))
+def mask_average_precision(spark, sf):
+    rows = table(spark, sf, "lineitem")
+    pixels = rows.select((F.col("l_orderkey") % 500).alias("image"), F.col("l_linenumber").cast("long").alias("mask"), (F.col("l_partkey") % 60).alias("pixel")).distinct()
+    found, truth = pixels.where("mask % 2 = 1"), pixels.where("mask % 2 = 0")
+    conf = (F.col("mask") * 7 + F.col("image") * 13) % 101 / F.lit(101.0)
+    dets = found.select("image", "mask").distinct().select("image", F.lit("m").alias("cls"), F.col("mask").alias("det"), conf.alias("conf"))
+    gts = truth.select("image", "mask").distinct().select("image", F.lit("m").alias("cls"), F.col("mask").alias("gt"))
+    pairs = matching.mask_iou(found, truth).select("image", F.lit("m").alias("cls"), F.col("left_mask").alias("det"), F.col("right_mask").alias("gt"), "iou")
+    return curves.average_precision(dets, gts, matching.match_pairs(pairs, LEVELS), LEVELS).select("cls", "threshold", "n_truth", F.round("ap", 6).alias("ap"))
+
+
+_TASK = f"""{ANN}, base AS (SELECT a.image, a.det AS anchor, b.gt, b.cls, CASE WHEN a.cls = b.cls THEN a.conf ELSE a.conf / 2 END AS score,
+  greatest(0.0::DOUBLE, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0.0::DOUBLE, least(a.y2, b.y2) - greatest(a.y1, b.y1)) AS inter, {sql_area('a')} + {sql_area('b')} AS areas,
+  greatest(a.x2, b.x2) - least(a.x1, b.x1) AS hw, greatest(a.y2, b.y2) - least(a.y1, b.y1) AS hh, a.x1 + a.x2 - b.x1 - b.x2 AS dx, a.y1 + a.y2 - b.y1 - b.y2 AS dy,
+  atan((a.x2 - a.x1) / (a.y2 - a.y1 + 1e-7::DOUBLE)) - atan((b.x2 - b.x1) / (b.y2 - b.y1 + 1e-7::DOUBLE)) AS turn
+  FROM det a JOIN gt b ON a.image = b.image AND least((a.x1 + a.x2) / 2 - b.x1, (a.y1 + a.y2) / 2 - b.y1, b.x2 - (a.x1 + a.x2) / 2, b.y2 - (a.y1 + a.y2) / 2) > 1e-9::DOUBLE),
+io AS (SELECT *, inter / (areas - inter + 1e-7::DOUBLE) AS iou, turn * turn * (4 / ({PI} * {PI})) AS v FROM base),
+ov AS (SELECT *, greatest(0.0::DOUBLE, iou - ((dx * dx + dy * dy) / 4) / (hw * hw + hh * hh + 1e-7::DOUBLE) - v * v / (v - iou + (1 + 1e-7::DOUBLE))) AS overlap FROM io),
+ms AS (SELECT *, score * power(overlap, 6.0::DOUBLE) AS measure FROM ov),
+pk AS (SELECT *, row_number() OVER (PARTITION BY image, gt ORDER BY measure DESC, anchor) <= 2 AS pick, row_number() OVER (PARTITION BY image, anchor ORDER BY overlap DESC, gt) = 1 AS most FROM ms),
+ct AS (SELECT *, sum(pick::INT) OVER (PARTITION BY image, anchor) AS picks FROM pk),
+mine AS (SELECT * FROM ct WHERE CASE WHEN picks > 1 THEN most ELSE pick END)"""
+
+
+@entry(f"WITH {_TASK} SELECT image, anchor, gt, cls, round(measure * max(overlap) OVER w / (max(measure) OVER w + 1e-9::DOUBLE), 6) AS weight FROM mine WINDOW w AS (PARTITION BY image, gt)")
+def task_aligned(spark, sf):
+    b = bx.box()
+    kinds = F.create_map(*[x for c in "ANR" for x in (F.lit(c), F.when(F.col("cls") == c, F.col("conf")).otherwise(F.col("conf") / 2))])
+    preds = detections(spark, sf).withColumns({"anchor": F.col("det"), "ax": (b.x1 + b.x2) / 2, "ay": (b.y1 + b.y2) / 2, "scores": kinds})
+    return assignment.task_aligned(preds, ground_truth(spark, sf), 2).select("image", "anchor", "gt", "cls", F.round("weight", 6).alias("weight"))
+
+
+@entry("SELECT l_orderkey AS image, l_linenumber AS mask, l_partkey % 60 AS u, l_suppkey % 40 AS v FROM lineitem WHERE l_partkey % 60 >= 10 AND l_partkey % 60 < 10 + l_linenumber * 5 AND l_suppkey % 40 >= 4 AND l_suppkey % 40 < 30")
+def cropped_masks(spark, sf):
+    rows = table(spark, sf, "lineitem")
+    pixels = rows.select(F.col("l_orderkey").alias("image"), F.col("l_linenumber").alias("mask"), (F.col("l_partkey") % 60).alias("u"), (F.col("l_suppkey") % 40).alias("v"))
+    boxes = pixels.select("image", "mask").distinct().select("image", "mask", F.lit(10).alias("x1"), F.lit(4).alias("y1"), (F.col("mask") * 5 + 10).alias("x2"), F.lit(30).alias("y2"))
+    return manifest.inside_boxes(pixels, boxes, ["image", "mask"])
+
+
+@entry("""
+WITH px AS (SELECT DISTINCT l_orderkey % 300 AS image, l_linenumber AS mask, l_partkey % 40 AS pixel FROM lineitem), s AS (SELECT image, mask, row_number() OVER (PARTITION BY image ORDER BY count(*) DESC, mask) AS number FROM px GROUP BY 1, 2)
+SELECT image, pixel, max(number)::INT AS number FROM px JOIN s USING (image, mask) GROUP BY 1, 2""")
+def topmost_masks(spark, sf):
+    pixels = table(spark, sf, "lineitem").select((F.col("l_orderkey") % 300).alias("image"), F.col("l_linenumber").alias("mask"), (F.col("l_partkey") % 40).alias("pixel")).distinct()
+    return manifest.topmost(pixels)
+
+
+@entry("SELECT l_orderkey, l_linenumber, CASE l_partkey % 7 WHEN 0 THEN 255 WHEN 1 THEN 0 WHEN 2 THEN 255 WHEN 5 THEN 1 ELSE l_partkey % 7 END::INT AS mapped, CASE l_suppkey % 5 WHEN 0 THEN 1 WHEN 1 THEN 5 ELSE l_suppkey % 5 END::INT AS back FROM lineitem")
+def mapped_labels(spark, sf):
+    mapping = manifest.label_mapping({0: "ignore_label", 1: 0, "2": None, 5: " 1 "})
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", manifest.map_labels(F.col("l_partkey") % 7, mapping).alias("mapped"), manifest.map_labels(F.col("l_suppkey") % 5, mapping, inverse=True).alias("back"))
+
+
+@entry("SELECT p_partkey, CASE WHEN p_size % 4 = 0 THEN 'not readable' WHEN p_size < 10 OR p_partkey % 50 < 10 THEN 'too small' WHEN p_partkey % 3 = 0 THEN 'unknown format' END AS fault FROM part")
+def image_faults(spark, sf):
+    path = F.concat("p_name", F.when(F.col("p_partkey") % 3 == 0, ".gif").otherwise(".JPG"))
+    return table(spark, sf, "part").select("p_partkey", manifest.image_fault(path, F.when(F.col("p_size") % 4 != 0, F.col("p_size")), (F.col("p_partkey") % 50).cast("int")).alias("fault"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 
@@ -13,7 +14,7 @@ from framelens.functions import boxes as bx
 from framelens.functions import polygons
 from framelens.functions.strings import clean_name, label_path, six_digits
 from framelens.functions.vectors import joint_angle
-from framelens.operators import augment, curves, etl, matching, metrics, search, suppression, trajectories
+from framelens.operators import assignment, augment, curves, etl, manifest, matching, metrics, search, suppression, trajectories
 
 BOX = "x1 double, y1 double, x2 double, y2 double"
 
@@ -423,3 +424,33 @@ def test_marks_of_names(spark):
 def test_orphans_have_no_parent(spark):
     child = spark.createDataFrame([(1, 10), (2, 11), (3, None)], "c long, key long")
     assert [r.c for r in etl.orphans(child, spark.createDataFrame([(10,)], "p long"), "key", "p").orderBy("c").collect()] == [2, 3]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_least_cost_pairs_against_all_permutations(spark, seed):
+    rng = random.Random(seed)
+    rows, want = [], {}
+    for image in range(6):
+        n, m = rng.randint(1, 4), rng.randint(1, 4)
+        cost = [[rng.uniform(-5, 50) for _ in range(m)] for _ in range(n)]
+        rows += [(image, i, j, cost[i][j]) for i in range(n) for j in range(m)]
+        wide = cost if n <= m else [list(c) for c in zip(*cost)]
+        want[image] = min(sum(wide[i][j] for i, j in enumerate(p)) for p in itertools.permutations(range(len(wide[0])), len(wide)))
+    out = assignment.least_cost_pairs(spark.createDataFrame(rows, "image long, i long, j long, cost double"), ["image"], "i", "j", "cost").collect()
+    for image, total in want.items():
+        own = [r for r in out if r.image == image]
+        assert sum(r.cost for r in own) == pytest.approx(total)
+        assert len({r.i for r in own}) == len({r.j for r in own}) == len(own)
+
+
+def test_label_mappings(spark):
+    assert manifest.label_mapping(None) == {} and manifest.label_mapping({"7": " 3 ", 0: None, -1: "ignore_label"}) == {7: 3, 0: 255, -1: 255}
+    with pytest.raises(TypeError):
+        manifest.label_mapping([1])
+    assert manifest.smoothed_targets(0.1) == (0.95, 0.05)
+
+
+def test_next_free_name(spark):
+    names = lambda *x: spark.createDataFrame([(v,) for v in x], "n string")
+    assert manifest.next_free_name(names("other", "run2"), "n", "run") == "run"
+    assert manifest.next_free_name(names("run", "run2", "run4", "runs", "run02x"), "n", "run") == "run3"
