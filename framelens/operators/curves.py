@@ -22,9 +22,13 @@ def ranked_hits(dets: DataFrame, matches: DataFrame, thresholds: list[float] | N
     levels = thresholds or THRESHOLDS
     hits = matches.select("image", "cls", "det", "threshold").groupBy("image", "cls", "det").agg(F.collect_set("threshold").alias("_hit"))
     rows = dets.select("image", "cls", "det", "conf").join(hits, ["image", "cls", "det"], "left")
-    each = rows.withColumn("threshold", F.explode(F.array(*[F.lit(float(t)) for t in levels]))).withColumn("tp", F.coalesce(F.array_contains("_hit", F.col("threshold")), F.lit(False)).cast("int")).withColumn("one", F.lit(1)).withColumn("_step", step_of(F.col("conf"))).drop("_hit")
+    # Ranks are the same at every threshold, so one order serves them all, with a running count for each.
+    tps = {f"_tp{i}": F.coalesce(F.array_contains("_hit", F.lit(float(t))), F.lit(False)).cast("int") for i, t in enumerate(levels)}
+    marked = rows.withColumns({**tps, "one": F.lit(1), "_step": step_of(F.col("conf"))}).drop("_hit")
     order = [F.desc("conf"), F.col("image"), F.col("det")]
-    return running_sums(each, ["cls", "threshold"], order, {"hits": "tp", "rank": "one"}).drop("one")
+    summed = running_sums(marked, ["cls"], order, {"rank": "one", **{f"_hits{i}": f"_tp{i}" for i in range(len(levels))}})
+    at = [F.struct(F.lit(float(t)).alias("threshold"), F.col(f"_tp{i}").alias("tp"), F.col(f"_hits{i}").alias("hits")) for i, t in enumerate(levels)]
+    return summed.select("image", "cls", "det", "conf", "_step", "rank", F.inline(F.array(*at)))
 
 
 def average_precision(dets: DataFrame, truth: DataFrame, matches: DataFrame, thresholds: list[float] | None = None) -> DataFrame:

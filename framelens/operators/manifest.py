@@ -171,7 +171,7 @@ def map_labels(label: Column, mapping: dict[int, int], inverse: bool = False) ->
 
 
 #: Endings of images that are read.
-IMAGE_FORMATS = ("avif", "bmp", "dng", "heic", "heif", "jp2", "jpeg", "jpeg2000", "jpg", "mpo", "png", "tif", "tiff", "webp")
+IMAGE_FORMATS = ("avif", "bmp", "dng", "heic", "heif", "jp2", "jpeg", "jpg", "mpo", "png", "tif", "tiff", "webp")
 
 
 def image_fault(path: Column, width: Column, height: Column) -> Column:
