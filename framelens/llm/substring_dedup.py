@@ -31,8 +31,8 @@ MIX = np.uint64(0xFF51AFD7ED558CCD)
 BASE2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
 #: Characters and rows of a chunk, and characters whose windows make up a range.
-CHARS_IN_CHUNK, ROWS_IN_BLOCK = 5 << 20, 4096
-CHARS_IN_RANGE = 12 << 20
+CHARS_IN_CHUNK, ROWS_IN_BLOCK = 4 << 20, 4096
+CHARS_IN_RANGE = 6 << 20
 
 
 def window_hashes(words: np.ndarray, width: int, base: np.uint64 = BASE) -> np.ndarray:
