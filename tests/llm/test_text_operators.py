@@ -371,6 +371,24 @@ def test_pairs_of_an_oversized_shard_meet(spark):
     assert len(set(found.values())) == 20
 
 
+@pytest.mark.parametrize("limit", [8192, 4])
+def test_recall_at_the_limit(spark, limit):
+    """Pairs at a similarity of 0.80 to 0.83 among texts that share half of their words: also with every shard cut."""
+    rng = random.Random(15)
+    common = [f"c{i}" for i in range(150)]
+    rows = []
+    for pair in range(120):
+        words = common + [f"p{pair}x{i}" for i in range(rng.randint(140, 180))]
+        k = len(words) // 10
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(words[:-k] + [f"q{pair}x{i}" for i in range(k)]))]
+    near_pairs = [p for p in range(120) if jaccard(rows[2 * p][1], rows[2 * p + 1][1]) >= 0.8]
+    assert len(near_pairs) > 80
+    found = {r.doc_id: r.root for r in near_copies(spark.createDataFrame(rows, "doc_id long, text string"), shard_limit=limit).collect()}
+    recall = sum(found[2 * p] == found[2 * p + 1] for p in near_pairs) / len(near_pairs)
+    assert recall >= 0.98
+    assert len(set(found.values())) >= 240 - 120
+
+
 def test_repeated_phrases_do_not_part_copies(spark):
     """Texts that differ in how often phrases repeat, most of whose SimHashes with repeats are far apart."""
     rows = []
