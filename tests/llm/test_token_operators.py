@@ -323,6 +323,46 @@ def test_mix_meets_its_budgets(spark):
     assert sum(p.weight for p in plan.collect()) == pytest.approx(1)
 
 
+@pytest.mark.parametrize("limits", [{"max_repeats": 2.5}, {"max_repeats": None, "budget_tokens": 9000}, {"target_entropy": 1.0, "max_repeats": None}])
+def test_mix_against_brute_force(spark, limits):
+    """Weights, copies, blocks and the cut of every source, from the hashes of its rows alone."""
+    rng = random.Random(16)
+    rows = [(i, "y" * rng.randint(0, 300), s) for i, s in enumerate(["big"] * 300 + ["mid"] * 90 + ["small"] * 25 + [None] * 12)] + [(7, "twice", "mid")] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = {p.source: p for p in mixing_plan(df, block_tokens=400, seed=5, **limits).collect()}
+    got = Counter((r.doc_id, r.source, r.mix.epoch, r.mix.block) for r in mix(df, mixing_plan(df, block_tokens=400, seed=5, **limits), seed=5).collect())
+    tokens = defaultdict(int)
+    for _, text, source in rows:
+        tokens[source] += -(-len(text) // 4) + 1
+    total = sum(tokens.values())
+    exponent = plan["big"].exponent
+    weight = {s: (n / total) ** exponent for s, n in tokens.items()}
+    weight = {s: w / sum(weight.values()) for s, w in weight.items()}
+    budget = limits.get("budget_tokens") or max(tokens[s] / weight[s] for s in tokens)
+    if limits.get("target_entropy"):
+        assert -sum(w * math.log(w) for w in weight.values()) <= 1.0 + 1e-6
+    hashed = df.select("doc_id", "source", F.xxhash64("doc_id", "text", F.lit(5)).alias("h"), "text")
+    want, places = Counter(), defaultdict(list)
+    blocks = {s: max(1, -(-n // 400)) for s, n in tokens.items()}
+    count = F.coalesce(*[F.when(F.col("source").eqNullSafe(F.lit(s)), n) for s, n in blocks.items()])
+    ordered = hashed.withColumn("block", F.pmod("h", count.cast("long"))).withColumn("o", F.xxhash64("source", "block", F.lit(5)))
+    for r in ordered.collect():
+        places[r.source].append((r.o, r.h, r.doc_id, r.block, -(-len(r.text) // 4) + 1))
+    for source, own in places.items():
+        assert plan[source].tokens == tokens[source] and plan[source].weight == pytest.approx(weight[source]) and plan[source].blocks == blocks[source]
+        repeats = budget * weight[source] / tokens[source]
+        whole, taken, cut = int(repeats + 1e-9), 0, None
+        rest = max(0.0, (repeats - whole) * tokens[source])
+        for o, h, *_, n in sorted(own):
+            taken += n
+            if taken <= rest + 1e-6:
+                cut = (o, h)
+        for o, h, doc, block, _ in own:
+            for epoch in range(whole + (cut is not None and (o, h) <= cut)):
+                want[doc, source, epoch, block] += 1
+    assert got == want
+
+
 def test_mix_with_a_small_budget_and_edge_cases(odd, none):
     plan = mixing_plan(odd, max_repeats=None, budget_tokens=2000)
     assert mix(odd, plan).agg(F.sum("mix.tokens")).first()[0] <= 2000
@@ -345,6 +385,23 @@ def test_model_learns_an_interaction():
     assert quality_model.fit(x, np.ones(len(x))).score(x).min() > 0.9
 
 
+def test_scores_are_sums_of_table_entries():
+    """Features from their definitions, and a score from one entry of each table."""
+    text = "The QUICK brown fox! fox | 12\nthe quick, brown FOX extraordinarily é\nThe QUICK brown fox! fox | 12"
+    got = dict(zip(quality_model.FEATURES, quality_model.features(text)))
+    words, data = text.split(), text.encode()
+    pairs = list(zip(words, words[1:]))
+    want = {"log_words": math.log1p(len(words)), "mean_word": len(data) / len(words), "pipe_words": 2 / len(words), "bang_rate": 2 / len(data), "digit_rate": 4 / len(data), "distinct_rate": len(set(words)) / len(words), "top_word_rate": max(Counter(words).values()) / len(words), "repeat_pairs": 1 - len(set(pairs)) / (len(words) - 1), "dup_lines": 1 / 3, "shout_words": sum(w.isupper() for w in words) / len(words), "long_words": 1 / len(words), "non_ascii": 2 / len(data)}
+    assert {k: got[k] for k in want} == pytest.approx(want)
+    rng = np.random.default_rng(3)
+    x, y = rng.random((600, 5)), (rng.random(600) > 0.5).astype(float)
+    model = quality_model.fit(x, y, rounds=10, pair_rounds=5, n_pairs=3)
+    for row, score in zip(x[:40], model.score(x[:40])):
+        total = model.intercept + sum(t[sum(e <= v for e in edges)] for t, edges, v in zip(model.tables, model.edges, row))
+        total += sum(t[sum(e <= row[a] for e in model.coarse[a]), sum(e <= row[b] for e in model.coarse[b])] for (a, b), t in zip(model.pairs, model.pair_tables))
+        assert score == pytest.approx(1 / (1 + math.exp(-total)))
+
+
 def test_quality_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
