@@ -68,3 +68,34 @@ def from_words(defaults: Mapping[str, Any], words: Iterable[str]) -> dict[str, A
             raise ValueError(f"{word} is no key=value")
         pairs[name.strip()] = typed(value)
     return merged(defaults, pairs)
+
+
+def dataset_settings(given: Mapping[str, Any], split: str = "") -> dict[str, Any]:
+    """A dataset's settings with ``train``, ``val``, names by class, their number ``nc`` and ``channels`` filled in.
+
+    ``validation`` stands in for ``val``. Names or their number must be there and agree; a number may be written as text.
+    """
+    out = dict(given)
+    if "val" not in out and "validation" in out:
+        out["val"] = out.pop("validation")
+    for key in ("train", "val", *([split] if split else [])):
+        if key not in out or (key == split and not out[key]):
+            raise KeyError(f"the dataset has no {key}")
+    names, n = out.get("names"), out.get("nc")
+    if names is None and n is None:
+        raise KeyError("the dataset has neither names nor nc")
+    if n is not None:
+        try:
+            if float(n) != int(float(n)):
+                raise ValueError
+        except (TypeError, ValueError):
+            raise ValueError(f"nc={n!r} is no whole number") from None
+        n = int(float(n))
+    if names is None:
+        names = [f"class_{i}" for i in range(n)]
+    table = {int(k): str(v) for k, v in (names.items() if isinstance(names, Mapping) else enumerate(names))}
+    if n is not None and len(table) != n:
+        raise ValueError(f"{len(table)} names do not match nc={n}")
+    if table and max(table) >= len(table):
+        raise ValueError(f"class {max(table)} is out of range for {len(table)} names")
+    return {**out, "names": table, "nc": len(table), "channels": out.get("channels", 3)}

@@ -180,6 +180,17 @@ def image_fault(path: Column, width: Column, height: Column) -> Column:
     return F.when(width.isNull() | height.isNull(), "not readable").when((width < 10) | (height < 10), "too small").when(~ending.isin(*IMAGE_FORMATS), "unknown format")
 
 
+def depth_fault(path: Column, form: Column, width: Column, height: Column, depth_width: Column, depth_height: Column, within: float = 0.02) -> Column:
+    """Why a depth map can't be used: none there, no grid of floating numbers (npy) or integers (png16), or another aspect."""
+    alike = like_aspect(width, height, depth_width, depth_height, within)
+    return F.when(path.isNull(), "missing").when(~form.isin("npy", "png16"), "not a grid of numbers").when(~alike, "other shape")
+
+
+def mask_fault(path: Column, width: Column, height: Column, mask_width: Column, mask_height: Column, top: Column, n_classes: int) -> Column:
+    """Why a mask of classes can't be used: none there, another size, or a class (its largest but the ignored one) too high."""
+    return F.when(path.isNull(), "missing").when((mask_width != width) | (mask_height != height), "other size").when(top >= n_classes, "class out of range")
+
+
 def inside_boxes(pixels: DataFrame, boxes: DataFrame, keys: list[str]) -> DataFrame:
     """Pixels (u, v) of each mask inside its own box: from its left and top sides to before the others."""
     joined = pixels.join(boxes.select(*keys, "x1", "y1", "x2", "y2"), keys)

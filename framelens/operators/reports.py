@@ -48,6 +48,11 @@ def most_objects(annotations: DataFrame, split: str, image: str) -> DataFrame:
     return per.groupBy(split).agg(F.max("n").alias("most"))
 
 
+def detection_limits(annotations: DataFrame, split: str, image: str, max_det: int = 300) -> DataFrame:
+    """split and the number of detections an image may need: ``max_det``, or the most objects of an image where that is more."""
+    return most_objects(annotations, split, image).select(split, F.greatest(F.lit(max_det), "most").alias("max_det"))
+
+
 def synonym_counts(rows: DataFrame, name: str) -> DataFrame:
     """Instances of each synonym of names that are joined by slashes."""
     return rows.select(F.explode(F.split(name, "/")).alias("synonym")).groupBy(F.trim("synonym").alias("synonym")).agg(F.count("*").alias("n"))

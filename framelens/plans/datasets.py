@@ -47,15 +47,27 @@ def coco_labels(spark, sf):
     return coco.coco_labels(_coco_images(spark, sf), _coco_annotations(spark, sf)).select("image_id", "id", F.col("cls").cast("long").alias("cls"), *[six(c) for c in ("cx", "cy", "w", "h")])
 
 
-@entry(_COCO)
-def coco_documents(spark, sf):
-    """The same from JSON documents on disk: a few files, each with the images and annotations of its part."""
+def _coco_documents(spark, sf):
+    """A few documents on disk, each with the images and annotations of its part."""
     path = scratch(spark, "documents")
     part = lambda df, key: df.withColumn("part", F.col(key) % 4)
     pack = lambda df, key, name: part(df, key).groupBy("part").agg(F.collect_list(F.struct(*df.columns)).alias(name))
     docs = pack(_coco_images(spark, sf), "id", "images").join(pack(_coco_annotations(spark, sf), "image_id", "annotations"), "part").withColumn("categories", F.array(F.struct(F.lit(1).alias("id"), F.lit("one").alias("name"))))
     docs.drop("part").repartition(4).write.json(path)
-    read = coco.read_coco(spark, path)
+    return path
+
+
+@entry(_COCO)
+def coco_documents(spark, sf):
+    """The same from documents on disk."""
+    read = coco.read_coco(spark, _coco_documents(spark, sf))
+    return coco.coco_labels(read["images"], read["annotations"]).select("image_id", "id", F.col("cls").cast("long").alias("cls"), *[six(c) for c in ("cx", "cy", "w", "h")])
+
+
+@entry(_COCO)
+def coco_streams(spark, sf):
+    """The same from documents that are read record by record."""
+    read = coco.read_large_coco(spark, _coco_documents(spark, sf))
     return coco.coco_labels(read["images"], read["annotations"]).select("image_id", "id", F.col("cls").cast("long").alias("cls"), *[six(c) for c in ("cx", "cy", "w", "h")])
 
 
@@ -262,12 +274,30 @@ def most_objects(spark, sf):
     return reports.most_objects(annotations(spark, sf), "cls", "image")
 
 
+@entry(f"WITH {ANN}, n AS (SELECT cls, image, count(*) AS n FROM ann GROUP BY 1, 2) SELECT cls, greatest(3, max(n)) AS max_det FROM n GROUP BY 1")
+def detection_limits(spark, sf):
+    return reports.detection_limits(annotations(spark, sf), "cls", "image", 3)
+
+
 @entry(f"WITH {ANN} SELECT image, i FROM (SELECT image, i, count(*) AS n FROM (SELECT image, i FROM ann UNION ALL SELECT image, i FROM ann WHERE i % 4 = 1) GROUP BY 1, 2) WHERE n > 1")
 def repeated_keys(spark, sf):
     rows = annotations(spark, sf).select("image", "i")
     return etl.repeated(rows.unionAll(rows.where("i % 4 = 1")), ["image", "i"]).select("image", "i")
 
 
+@entry("""
+SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'missing' WHEN p_size % 4 <> 1 AND p_size % 4 <> 2 THEN 'not a grid of numbers' WHEN abs(ln((p_size / 10.0::DOUBLE) / 2)) > 0.5::DOUBLE THEN 'other shape' END AS depth_fault,
+  CASE WHEN p_size % 3 = 0 THEN 'missing' WHEN p_size <> 20 THEN 'other size' WHEN p_partkey % 4 > 1 THEN 'class out of range' END AS mask_fault FROM part""")
+def companion_faults(spark, sf):
+    """Why a depth map or a mask beside an image can't be used."""
+    rows = table(spark, sf, "part")
+    there = F.when(F.col("p_size") % 3 != 0, F.lit("x"))
+    form = F.element_at(F.array(F.lit("png8"), F.lit("npy"), F.lit("png16"), F.lit("jpg")), (F.col("p_size") % 4 + 1).cast("int"))
+    depth = manifest.depth_fault(there, form, F.lit(20.0), F.lit(10.0), F.col("p_size").cast("double"), F.lit(10.0), 0.5)
+    mask = manifest.mask_fault(there, F.lit(20), F.lit(10), F.col("p_size"), F.lit(10), (F.col("p_partkey") % 4).cast("int"), 2)
+    return rows.select("p_partkey", depth.alias("depth_fault"), mask.alias("mask_fault"))
+
+
 # Curves and statistics
 
 

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import codecs
+import json
+from collections.abc import Iterator
+from itertools import batched
+
+import pyarrow as pa
+from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framelens import schemas
 from framelens.functions.strings import stem
+from framelens.operators.manifest import IMAGE_FORMATS
 
 
 def read_coco(spark: SparkSession, path: str | list[str]) -> dict[str, DataFrame]:
@@ -15,6 +23,96 @@ def read_coco(spark: SparkSession, path: str | list[str]) -> dict[str, DataFrame
     return {n: doc.select("source", F.explode(n).alias("_x")).select("source", "_x.*") for n in ("images", "annotations", "categories")}
 
 
+class _JsonText:
+    """A JSON text that is read piece by piece: only the value at hand stands in memory."""
+
+    def __init__(self, stream, piece: int = 1 << 20) -> None:
+        self.stream, self.piece, self.decode, self.scan = stream, piece, codecs.getincrementaldecoder("utf-8-sig")().decode, json.JSONDecoder().raw_decode
+        self.text, self.at, self.ended = "", 0, False
+
+    def _more(self, size: int) -> None:
+        data = self.stream.read(size)
+        self.ended = not data
+        self.text, self.at = self.text[self.at :] + self.decode(data, not data), 0
+
+    def mark(self, skip: str = "") -> str:
+        """The next character that is neither white space nor one to skip; empty at the end."""
+        while True:
+            while self.at < len(self.text):
+                if self.text[self.at] not in " \t\r\n" + skip:
+                    return self.text[self.at]
+                self.at += 1
+            if self.ended:
+                return ""
+            self._more(self.piece)
+
+    def value(self) -> tuple[object, str]:
+        """The next value and its text. A value that isn't whole yet takes as much again."""
+        self.mark()
+        while True:
+            try:
+                found, end = self.scan(self.text, self.at)
+                if end < len(self.text) or self.ended:
+                    text, self.at = self.text[self.at : end], end
+                    return found, text
+            except json.JSONDecodeError:
+                if self.ended:
+                    raise
+            self._more(max(self.piece, len(self.text) - self.at))
+
+
+def json_records(stream, keys: tuple[str, ...], piece: int = 1 << 20) -> Iterator[tuple[str, str]]:
+    """Key and text of each element of the arrays that stand under top-level keys, in order; other keys are passed over."""
+    text = _JsonText(stream, piece)
+    if text.mark() != "{":
+        raise ValueError("the document is no object")
+    text.at += 1
+    while text.mark(",") not in ("}", ""):
+        key = text.value()[0]
+        if text.mark() != ":":
+            raise ValueError(f"no value behind {key!r}")
+        text.at += 1
+        if key in keys and text.mark() == "[":
+            text.at += 1
+            while text.mark(",") not in ("]", ""):
+                yield key, text.value()[1]
+            text.at += 1
+        else:
+            text.value()
+
+
+def read_large_coco(spark: SparkSession, path: str | list[str], piece: int = 1 << 20) -> dict[str, DataFrame]:
+    """Like :func:`read_coco` for documents of any size: a task reads a file as a stream and holds a record at a time.
+
+    Files are opened by Arrow's file systems, so the path is one that they know.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path", "length").repartition(max(1, spark.sparkContext.defaultParallelism))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                store, place = arrow_fs.FileSystem.from_uri(name.replace("file:/", "file:///", 1) if not name.startswith("file://") else name)
+                with store.open_input_stream(place) as stream:
+                    for rows in batched(json_records(stream, ("images", "annotations", "categories"), piece), 10_000):
+                        yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows)), *(pa.array(c) for c in zip(*rows))], names=["source", "section", "record"])
+
+    records = files.mapInArrow(read, "source string, section string, record string")
+    kinds = {"images": schemas.COCO_IMAGES, "annotations": schemas.COCO_ANNOTATIONS, "categories": schemas.COCO_CATEGORIES}
+    part = lambda name, kind: records.where(F.col("section") == name).select("source", F.from_json("record", kind.removeprefix("array<").removesuffix(">")).alias("_x")).select("source", "_x.*")
+    return {name: part(name, kind) for name, kind in kinds.items()}
+
+
+#: Endings of videos that are read.
+VIDEO_FORMATS = ("asf", "avi", "gif", "m4v", "mkv", "mov", "mp4", "mpeg", "mpg", "ts", "wmv", "webm")
+
+
+def list_media(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """path, length and kind (image or video) of the files below a folder whose ending is known; contents aren't read."""
+    ending = F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1))
+    kind = F.when(ending.isin(*IMAGE_FORMATS), "image").when(ending.isin(*VIDEO_FORMATS), "video")
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", kind.alias("kind")).where("kind IS NOT NULL")
+
+
 def coco_labels(images: DataFrame, annotations: DataFrame, classes: DataFrame | None = None) -> DataFrame:
     """image_id, cls and a centre box in shares of the image, in order of annotation.
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from framelens.sources import coco, sinks
@@ -75,3 +77,36 @@ def test_writers(spark, tmp_path):
     sinks.write_csv(sinks.detection_records(dets), str(tmp_path / "csv"))
     assert json.loads(spark.read.csv(str(tmp_path / "csv"), header=True, quote='"', escape="\\").first().box)["x2"] == 4.5
     assert json.loads(sinks.image_documents(dets).first().document)["shapes"]
+
+
+@pytest.mark.parametrize("piece", [1, 7, 64, 1 << 20])
+def test_records_of_a_document_in_pieces(piece):
+    doc = {"info": {"images": [1, 2]}, "images": [{"id": 1, "t": "é\"]},[{"}, {"id": 2}], "n": 12, "annotations": [], "categories": [3, [4, "x"], None, "end"]}
+    for text in (json.dumps(doc, ensure_ascii=False), json.dumps(doc, indent=2)):
+        found = list(coco.json_records(io.BytesIO(text.encode()), ("images", "annotations", "categories"), piece))
+        assert [(k, json.loads(v)) for k, v in found] == [("images", x) for x in doc["images"]] + [("categories", x) for x in doc["categories"]]
+    with pytest.raises(ValueError):
+        list(coco.json_records(io.BytesIO(b"[1]"), ("images",)))
+    with pytest.raises(ValueError):
+        list(coco.json_records(io.BytesIO(b'{"images": [{"id": 1'), ("images",)))
+
+
+def test_media_are_listed_by_ending(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    for name in ("x.JPG", "a/y.webp", "a/z.mp4", "notes.txt", "plain"):
+        (tmp_path / name).write_bytes(b"123")
+    rows = coco.list_media(spark, str(tmp_path)).collect()
+    assert sorted((r.path.rsplit("/", 1)[1], r.kind, r.length) for r in rows) == [("x.JPG", "image", 3), ("y.webp", "image", 3), ("z.mp4", "video", 3)]
+
+
+def test_dataset_settings():
+    from framelens.config import dataset_settings
+
+    out = dataset_settings({"train": "a", "validation": "b", "nc": "2"})
+    assert (out["val"], out["names"], out["nc"], out["channels"]) == ("b", {0: "class_0", 1: "class_1"}, 2, 3)
+    assert dataset_settings({"train": "a", "val": "b", "names": {0: "x"}, "nc": 1.0}, "val")["names"] == {0: "x"}
+    for bad, error in (({"val": "b", "nc": 1}, KeyError), ({"train": "a", "val": "b"}, KeyError), ({"train": "a", "val": "b", "nc": 1.5}, ValueError), ({"train": "a", "val": "b", "nc": 2, "names": ["x"]}, ValueError), ({"train": "a", "val": "b", "names": {3: "x"}}, ValueError)):
+        with pytest.raises(error):
+            dataset_settings(bad)
+    with pytest.raises(KeyError):
+        dataset_settings({"train": "a", "val": "b", "nc": 1, "test": None}, "test")
