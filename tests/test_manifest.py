@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from framelens import config
-from framelens.operators import manifest
+from framelens.operators import manifest, solutions, tuning
 
 
 def splits(spark, train=9, test=1):
@@ -79,3 +79,33 @@ def test_settings():
         config.merged(defaults, {"show": 3})
     with pytest.raises(ValueError):
         config.merged(defaults, {"conf": 2}, bounds={"conf": (0, 1)})
+
+
+def test_mutations_are_new_and_within_bounds():
+    space, whole = {"lr0": (1e-4, 0.1), "epochs": (1.5, 6.9), "fixed": (3.0, 3.0)}, ("epochs",)
+    defaults = {"lr0": 0.2, "epochs": 9, "fixed": 3.0}
+    rng = np.random.default_rng(1)
+    assert tuning.mutate([], space, defaults, rng, whole) == {"lr0": 0.1, "epochs": 6, "fixed": 3.0}
+    history = [(0.1 * i, {"lr0": 0.01 * i, "epochs": 2 + i % 5, "fixed": 3.0}) for i in range(1, 9)]
+    for _ in range(50):
+        child = tuning.mutate(history, space, defaults, rng, whole)
+        assert 1e-4 <= child["lr0"] <= 0.1 and child["epochs"] in range(2, 7) and child["fixed"] == 3.0
+        assert child not in [h for _, h in history]
+        history.append((rng.random(), child))
+    with pytest.raises(ValueError):
+        tuning.mutate([(1.0, {"a": 1})], {"a": (1, 1)}, {"a": 1}, rng)
+    with pytest.raises(RuntimeError):
+        tuning.mutate([(1.0, {"a": 1}), (1.0, {"a": 2})], {"a": (1, 2)}, {"a": 1}, rng, ("a",))
+
+
+def test_solutions_by_name(spark):
+    rows = [(0, t, f, 10.0 * f + t, 30.0, "car") for t in range(3) for f in range(6)]
+    points = spark.createDataFrame(rows, "stream long, track long, frame long, cx double, cy double, cls string")
+    total = solutions.run_solution(points, ["count", "region=[[25, -100], [25, 100]]"]).collect()
+    assert [(r.cls, r.n_in, r.n_out) for r in total] == [("car", 3, 0)]
+    assert solutions.run_solution(points, ["nothing", "region=[[25, -100], [25, 100]]"]).collect() == total
+    assert [(r.stream, r.frame) for r in solutions.run_solution(points, ["security", "records=3"]).collect()] == [(0, 0)]
+    assert solutions.run_solution(points, ["trackzone", "region=[[0, 0], [15, 0], [15, 50], [0, 50]]"]).count() == 6
+    assert {r.frame for r in solutions.run_solution(points, ["distance", "first=0", "second=2"]).collect()} == set(range(6))
+    with pytest.raises(KeyError):
+        solutions.run_solution(points, ["queue", "regoin=1"])
