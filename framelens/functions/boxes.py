@@ -173,16 +173,19 @@ def regular_angle(r: RotatedBox) -> RotatedBox:
     return RotatedBox(r.cx, r.cy, F.when(turned, r.h).otherwise(r.w), F.when(turned, r.w).otherwise(r.h), F.pmod(r.angle, F.lit(pi / 2)))
 
 
-def _covariance(r: RotatedBox) -> tuple[Column, Column, Column]:
-    a, b = r.w * r.w / 12, r.h * r.h / 12
+def _covariance(r: RotatedBox, floor: float = 0.0) -> tuple[Column, Column, Column]:
+    a, b = r.w * r.w / 12 + floor, r.h * r.h / 12 + floor
     cos, sin = F.cos(r.angle), F.sin(r.angle)
     return a * cos * cos + b * sin * sin, a * sin * sin + b * cos * cos, (a - b) * cos * sin
 
 
-def gaussian_similarity(p: RotatedBox, q: RotatedBox, eps: float = EPS) -> Column:
-    """One less the Hellinger distance of the boxes taken as normal distributions."""
-    a1, b1, c1 = _covariance(p)
-    a2, b2, c2 = _covariance(q)
+def gaussian_similarity(p: RotatedBox, q: RotatedBox, eps: float = EPS, aspect: bool = False, floor: float = 0.0) -> Column:
+    """One less the Hellinger distance of the boxes taken as normal distributions.
+
+    ``floor`` is added to the variances; ``aspect`` takes off a weighted term for unlike aspect ratios.
+    """
+    a1, b1, c1 = _covariance(p, floor)
+    a2, b2, c2 = _covariance(q, floor)
     a, b, c = a1 + a2, b1 + b2, c1 + c2
     dx, dy = p.cx - q.cx, p.cy - q.cy
     det = a * b - c * c
@@ -190,7 +193,12 @@ def gaussian_similarity(p: RotatedBox, q: RotatedBox, eps: float = EPS) -> Colum
     own = F.sqrt(F.greatest(F.lit(0.0), a1 * b1 - c1 * c1) * F.greatest(F.lit(0.0), a2 * b2 - c2 * c2))
     spread = F.log(det / (4 * own + eps) + eps) * 0.5
     coefficient = F.least(F.greatest(near + spread, F.lit(eps)), F.lit(100.0))
-    return 1 - F.sqrt(1.0 - F.exp(-coefficient) + eps)
+    likeness = 1 - F.sqrt(1.0 - F.exp(-coefficient) + eps)
+    if not aspect:
+        return likeness
+    turn = F.atan(q.w / q.h) - F.atan(p.w / p.h)
+    v = turn * turn * (4 / pi**2)
+    return likeness - v * v / (v - likeness + (1 + eps))
 
 
 def keypoint_similarity(truth: Column, found: Column, area: Column, sigmas: list[float], eps: float = EPS) -> Column:

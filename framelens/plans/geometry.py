@@ -374,6 +374,16 @@ def rotated_average_precision(spark, sf):
     return _precision(spark, sf, _joined(spark, sf).select("a.image", "a.cls", "a.det", "b.gt", bx.gaussian_similarity(tilted("a"), tilted("b")).alias("iou")))
 
 
+_FLOORED = _ROTATED_PAIRS.replace("/ 12 AS", "/ 12 + 0.5::DOUBLE AS").replace("AS dy FROM det a", "AS dy, a.x2 - a.x1 AS aw, a.y2 - a.y1 AS ah, b.x2 - b.x1 AS bw, b.y2 - b.y1 AS bh FROM det a").replace("conf, gt, 1 - sqrt", "conf, gt, aw, ah, bw, bh, 1 - sqrt")
+
+
+@entry(f"""WITH {_FLOORED}, v AS (SELECT *, power(atan(bw / bh) - atan(aw / ah), 2) * (4 / ({PI} * {PI})) AS v FROM pairs)
+SELECT image, det, gt, round(iou - v * v / (v - iou + (1 + 1e-7::DOUBLE)), 6) + 0.0::DOUBLE AS similarity FROM v""")
+def rotated_similarity_with_aspect(spark, sf):
+    tilted = lambda s: bx.RotatedBox((F.col(f"{s}.x1") + F.col(f"{s}.x2")) / 2, (F.col(f"{s}.y1") + F.col(f"{s}.y2")) / 2, F.col(f"{s}.x2") - F.col(f"{s}.x1"), F.col(f"{s}.y2") - F.col(f"{s}.y1"), F.col(f"{s}.x1") / 20)
+    return _joined(spark, sf).select("a.image", "a.det", "b.gt", *rounded(similarity=bx.gaussian_similarity(tilted("a"), tilted("b"), aspect=True, floor=0.5)))
+
+
 _MASKS = """mk AS (SELECT DISTINCT l_orderkey % 500 AS image, l_linenumber % 2 AS odd, l_linenumber::BIGINT AS mask, l_partkey % 60 AS pixel FROM lineitem),
 size AS (SELECT image, odd, mask, count(*) AS n FROM mk GROUP BY 1, 2, 3),
 det AS (SELECT image, 'm' AS cls, mask AS det, (mask * 7 + image * 13) % 101 / 101.0::DOUBLE AS conf FROM size WHERE odd = 1), gt AS (SELECT image, 'm' AS cls, mask AS gt FROM size WHERE odd = 0),
