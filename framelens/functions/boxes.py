@@ -122,6 +122,14 @@ def vertical_iou(a: Box, b: Box, eps: float = EPS) -> Column:
     return (F.least(a.y2, b.y2) - F.greatest(a.y1, b.y1)) / (F.greatest(a.y2, b.y2) - F.least(a.y1, b.y1) + eps)
 
 
+def association_costs(track: Box, det: Box, track_score: Column, det_score: Column, eps: float = EPS) -> dict[str, Column]:
+    """What it costs to give a detection to a track: ``apart`` by overlap, ``fused`` with the detection's score, ``tall``
+    by overlap and common height, and ``unlike`` by their scores."""
+    near = iou(track, det, eps)
+    tall = near * F.greatest(vertical_iou(track, det, eps), F.lit(0.0))
+    return {"apart": 1 - near, "fused": 1 - near * det_score, "tall": 1 - tall, "unlike": F.abs(track_score - det_score)}
+
+
 def _hull(a: Box, b: Box) -> tuple[Column, Column]:
     return F.greatest(a.x2, b.x2) - F.least(a.x1, b.x1), F.greatest(a.y2, b.y2) - F.least(a.y1, b.y1)
 

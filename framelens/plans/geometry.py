@@ -12,7 +12,7 @@ from framelens.operators import assignment, augment, curves, manifest, matching,
 
 from .registry import Entries
 from .precision import average_precision
-from .views import ANN, FRAMES, annotations, detections, frames, ground_truth, sql_area, table
+from .views import ANN, FRAMES, annotations, detections, frames, ground_truth, sql_area, sql_iou, table
 
 entries = Entries()
 entry = entries.add
@@ -331,6 +331,18 @@ def peeled_parts(spark, sf):
     return parts.groupBy("view", "n").agg(F.count("*").alias("parts"))
 
 
+_TALL = "greatest(0.0::DOUBLE, (least(a.y2, b.y2) - greatest(a.y1, b.y1)) / (greatest(a.y2, b.y2) - least(a.y1, b.y1) + 1e-7::DOUBLE))"
+
+
+@entry(f"""WITH {ANN} SELECT a.image, a.i, b.i AS j, {sql_rounded(apart=f"1 - {sql_iou('a', 'b')}", fused=f"1 - {sql_iou('a', 'b')} * b.conf", tall=f"1 - {sql_iou('a', 'b')} * {_TALL}", unlike="abs(a.conf - b.conf)")}
+FROM ann a JOIN ann b ON a.image = b.image AND a.i % 2 = 1 AND b.i % 2 = 0""")
+def association_costs(spark, sf):
+    rows = annotations(spark, sf)
+    pairs = rows.where("i % 2 = 1").alias("a").join(rows.where("i % 2 = 0").alias("b"), F.col("a.image") == F.col("b.image"))
+    costs = bx.association_costs(bx.box("a."), bx.box("b."), F.col("a.conf"), F.col("b.conf"))
+    return pairs.select(F.col("a.image").alias("image"), F.col("a.i").alias("i"), F.col("b.i").alias("j"), *rounded(**costs))
+
+
 # Average precision over other likenesses, and assignment
 
 LEVELS = [0.3, 0.5, 0.75]
