@@ -101,7 +101,10 @@ class PieceEncoder:
     def _learn(self, piece: str) -> bytes:
         """Puts the ids of an inner piece into the memory; one that is empty or ends in white space has none."""
         ids = self.older.get(piece)
-        if ids is None:
+        if ids is None and piece.isascii() and piece.isalpha():
+            # The most frequent kind, a plain word.
+            ids = _packed([t.id for t in self.model.tokenize(self.lead + piece)])
+        elif ids is None:
             core = piece.rstrip(_MARKS)
             if core.isalpha() and (core.isascii() or _COMMON.fullmatch(core)):
                 ids = self._word(core)
