@@ -28,53 +28,71 @@ def search(index: DataFrame, query: list[float], vector: str = "embedding", key:
     return scored.orderBy(F.desc("score"), key).limit(k).where(F.col("score") >= least).select(key, "score")
 
 
-#: Vectors of a slab of the index and of a block of queries that one step multiplies.
-SLAB, BLOCK = 4096, 256
+#: Index vectors of a lane, and of them those that are multiplied at once.
+LANE, SLAB = 1 << 17, 4096
+
+
+class _Lane:
+    """The index vectors of a lane by their length; answers queries one by one."""
+
+    def __init__(self, k: int, least: float) -> None:
+        self.k, self.least = k, least
+        self.names: dict[int, list] = {}
+        self.vectors: dict[int, list | np.ndarray] = {}
+
+    def add(self, name, vector: list[float]) -> None:
+        self.names.setdefault(len(vector), []).append(name)
+        self.vectors.setdefault(len(vector), []).append(np.array(vector))
+
+    def best(self, vector: list[float]) -> list[tuple]:
+        """(key, score) of the k best of at least the least score, ties to the smaller key."""
+        n, q, found = len(vector), np.array(vector), []
+        if n not in self.names:
+            return []
+        if isinstance(self.vectors[n], list):
+            self.vectors[n] = np.array(self.vectors[n])
+        for at in range(0, len(self.names[n]), SLAB):
+            # A sum for each row alone, so that equal vectors have equal scores wherever they stand.
+            scores = (self.vectors[n][at : at + SLAB] * q).sum(axis=1)
+            high = max(self.least, np.partition(scores, -self.k)[-self.k]) if len(scores) > self.k else self.least
+            found += [(-scores[i], self.names[n][at + i]) for i in np.flatnonzero(scores >= high).tolist()]
+            found = sorted(found)[: self.k]
+        return [(name, -score) for score, name in found]
 
 
 def search_many(index: DataFrame, queries: DataFrame, vector: str = "embedding", key: str = "vec_id", k: int = 30, least: float = 0.1) -> DataFrame:
     """The same for any number of queries (query, embedding), each against the whole index: (query, key, score).
 
-    Index rows are dealt into lanes and every query goes to each lane, so all meet by one equal join of blocks with
-    slabs; each meeting keeps its k best, and these few are ranked in the end. A lane is read slab by slab, so memory
-    holds a slab and a block at a time. A vector that is null or has another length than a query scores nothing there.
+    Index rows are dealt into lanes of about ``LANE`` rows and every query goes to each lane. A task holds one lane and
+    the queries stream past it; of each meeting the k best are kept, and these few are ranked in the end. A vector that
+    is null or has another length than a query scores nothing there.
     """
     spark = index.sparkSession
-    lanes = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lanes = max(n, -(-index.count() // LANE))
     double = lambda c: F.transform(F.col(c), lambda x: x.cast("double"))
-    stored = index.where(F.col(vector).isNotNull()).select(F.col(key).alias("k"), double(vector).alias("v"), F.pmod(F.xxhash64(key), F.lit(lanes)).cast("int").alias("lane"))
-    asked = queries.where(F.col(vector).isNotNull()).select(F.col("query").alias("q"), unit(F.col(vector)).alias("v"), F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"))
-    key_type, query_type = stored.schema["k"].dataType.simpleString(), asked.schema["q"].dataType.simpleString()
-
-    def blocks(rows: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, np.ndarray]]:
-        """Numbers and vectors of as many rows of one length; a change of length starts a block too."""
-        names, vectors = [], []
-        for batch in rows:
-            for name, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if vectors and (len(vectors) == size or len(v) != len(vectors[0])):
-                    yield names, np.array(vectors)
-                    names, vectors = [], []
-                names.append(name)
-                vectors.append(v)
-        if vectors:
-            yield names, np.array(vectors)
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        best: dict = {}
-        for names, slab in blocks(left.select(["k", "v"]).to_batches(SLAB), SLAB):
-            for askers, block in blocks(right.select(["q", "v"]).to_batches(BLOCK), BLOCK):
-                if block.shape[1] != slab.shape[1]:
-                    continue
-                for asker, q in zip(askers, block):
-                    # A sum for each row alone, so that equal vectors have equal scores wherever they stand.
-                    scores = (slab * q).sum(axis=1)
-                    some = np.flatnonzero(scores >= np.partition(scores, -k)[-k]) if len(scores) > k else np.arange(len(scores))
-                    found = best.get(asker, []) + [(-scores[i], names[i]) for i in some.tolist()]
-                    best[asker] = sorted(found)[:k]
-        rows = [(asker, name, -score) for asker, found in best.items() for score, name in found if -score >= least]
-        return pa.table([pa.array([r[0] for r in rows], right["q"].type), pa.array([r[1] for r in rows], left["k"].type), pa.array([r[2] for r in rows], pa.float64())], names=["query", key, "score"])
-
-    few = stored.groupBy("lane").cogroup(asked.groupBy("lane")).applyInArrow(meet, f"query {query_type}, `{key}` {key_type}, score double")
+    stored = index.where(F.col(vector).isNotNull()).select(F.pmod(F.xxhash64(key, vector), F.lit(lanes)).cast("int").alias("lane"), F.lit(0).alias("asks"), F.col(key).alias("key"), double(vector).alias("v"))
+    asked = queries.where(F.col(vector).isNotNull()).select(F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"), F.lit(1).alias("asks"), F.col("query"), unit(F.col(vector)).alias("v"))
+    rows = stored.unionByName(asked, allowMissingColumns=True).select("lane", "asks", "key", "query", "v")
+    types = rows.schema
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, lane = None, _Lane(k, least)
+        for batch in batches:
+            out: list[tuple] = []
+            for number, asks, name, query, v in zip(*(c.to_pylist() for c in batch.columns)):
+                if number != here:
+                    here, lane = number, _Lane(k, least)
+                if asks:
+                    out += [(query, *found) for found in lane.best(v)]
+                else:
+                    lane.add(name, v)
+            kinds = (batch.schema.field("query").type, batch.schema.field("key").type, pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)], names=["query", key, "score"])
+
+    # The rows of a lane come before the queries.
+    dealt = rows.repartition(n, "lane").sortWithinPartitions("lane", "asks")
+    few = dealt.mapInArrow(answer, f"query {types['query'].dataType.simpleString()}, `{key}` {types['key'].dataType.simpleString()}, score double")
     order = Window.partitionBy("query").orderBy(F.desc("score"), key)
     return few.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k).drop("_r")
 
