@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from .tracker import Detection, SizeState, Track, Tracker, TrackerConfig, iou_cost, predict_all, unit
+from .tracker import Detection, SizeState, Track, Tracker, TrackerConfig, boxes_of, iou_cost, predict_all, unit
 
 
 def _centre(box: np.ndarray) -> np.ndarray:
@@ -185,7 +185,7 @@ class OcclusionTracker(Tracker):
 
     def _covers(self, tracks: list[Track]) -> np.ndarray:
         """The largest share of each track that one matched in this frame covers."""
-        own, others = np.array([t.box for t in tracks]), [t.box for t in self.met if t.sure]
+        own, others = boxes_of(tracks), [t.box for t in self.met if t.sure]
         if not others:
             return np.zeros(len(tracks))
         over = np.array(others)
@@ -271,7 +271,7 @@ class PoolTracker(Tracker):
     def cost(self, tracks: list[Track], dets: list[Detection], fuse: bool) -> np.ndarray:
         c = self.config
         apart = super().cost(tracks, dets, False)
-        a, b = np.array([t.box for t in tracks]), np.array([d.box for d in dets])
+        a, b = boxes_of(tracks), np.array([d.box for d in dets])
         tall = np.clip(np.minimum(a[:, None, 3], b[None, :, 3]) - np.maximum(a[:, None, 1], b[None, :, 1]), 0, None) / (np.maximum(a[:, None, 3], b[None, :, 3]) - np.minimum(a[:, None, 1], b[None, :, 1]) + 1e-7)
         scores = np.array([d.conf for d in dets])
         unlike = np.abs(np.array([t.score for t in tracks])[:, None] - scores[None, :])
