@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from framelens import config
+from framelens.functions.segments import share_inside
 from framelens.operators import manifest, solutions, tuning
 
 
@@ -44,6 +47,33 @@ def test_windows(spark):
     assert row.polygon[:2] == [10.0, 10.0] and row.tile == "p__100__80___0"
 
 
+def _many_objects(spark, n):
+    """Upright boxes of ten images' hundreds of objects, each with its polygon."""
+    sides = {"x1": F.col("id") % 20, "y1": F.col("id") % 17, "x2": F.col("id") % 20 + 14, "y2": F.col("id") % 17 + 11}
+    rows = spark.range(0, n, 1, 4).withColumns({c: v.cast("double") for c, v in sides.items()})
+    return rows.select((F.col("id") % 10).alias("image"), "id", F.array("x1", "y1", "x2", "y1", "x2", "y2", "x1", "y2").alias("polygon"), *sides)
+
+
+def test_windows_of_many_objects(spark):
+    """Polygons are cut together: one by one these took over 30 seconds. Shares of boxes are exact."""
+    windows = spark.createDataFrame([(i, x, x, x + 24, x + 24) for i in range(10) for x in (0, 24)], "image long, tx1 int, ty1 int, tx2 int, ty2 int")
+    inside = "greatest(0, least(x2, tx2) - greatest(x1, tx1)) * greatest(0, least(y2, ty2) - greatest(y1, ty1))"
+    found = manifest.assign_to_windows(_many_objects(spark, 600_000), windows, 0.0).withColumn("wrong", F.abs(F.col("share") - F.expr(inside) / 154.0) > 1e-12)
+    start = time.monotonic()
+    n, wrong = found.agg(F.count("*"), F.count_if("wrong")).first()
+    assert n > 600_000 and wrong == 0 and time.monotonic() - start < 30
+
+
+def test_shares_of_odd_polygons(spark):
+    """Turned, hollow, of different length, missing: against areas by hand."""
+    polygons = [[0.0, 5.0, 5.0, 0.0, 10.0, 5.0, 5.0, 10.0], [0.0, 0.0, 10.0, 0.0, 10.0, 10.0, 8.0, 10.0, 8.0, 2.0, 0.0, 2.0], [0.0, 0.0, 10.0, 0.0, 0.0, 10.0], [1.0, 1.0, 2.0, 2.0], [], None, [1.0, None, 2.0, 2.0, 3.0, 1.0]]
+    rows = spark.createDataFrame(list(enumerate(polygons)), "i int, p array<double>")
+    both = rows.select("i", *[share_inside("p", *[F.lit(float(v)) for v in w]).alias(n) for n, w in (("a", (0, 0, 5, 5)), ("b", (5, 0, 10, 10)))])
+    got = {r.i: (r.a, r.b) for r in both.collect()}
+    assert got[0] == pytest.approx((0.25, 0.5)) and got[1] == pytest.approx((10 / 36, 26 / 36)) and got[2] == pytest.approx((0.5, 0.25))
+    assert got[3] == got[4] == (0.0, 0.0) and got[5] == got[6] == (None, None)
+
+
 def test_label_sampling(spark):
     rows = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "z")], "image string, label string")
     words = spark.createDataFrame([(w,) for w in "uvwxyz"], "label string")
