@@ -1,12 +1,14 @@
 """Near copies at a Jaccard similarity of word shingles, found with bands of min-wise hashes and SimHash.
 
-At a similarity of 0.8 SimHash fingerprints differ in about ten of 64 bits, too many for shards keyed by shared bit
-blocks. Shards are keyed here by bands of min-wise hashes of the shingles: two texts at 0.8 miss each other in all
-24 bands of four once in 300,000 times. In a shard a text meets all others, those of the closest fingerprints first, and a
-meeting counts if the signatures of 512 min-wise hashes agree in the required share, less ``SLACK``. These links only
-nominate groups: in each of them, links are then made anew between texts whose whole sets of shingles are similar enough.
-Fingerprints are of distinct shingles, as the similarity is, and only order the search: below ``radius`` = 64 they would
-also limit it (a shard then uses a BK-tree where it is small), which loses some pairs.
+SimHash fingerprints of the distinct shingles come first: the BK-trees of :func:`~framelens.llm.simhash.near_links`, in
+shards keyed by shared bit blocks, link those within ``TREE_RADIUS`` bits. At a similarity of 0.8 fingerprints differ in
+about ten of 64 bits, too many for such shards, so the trees' groups are completed in shards that are keyed by bands of
+min-wise hashes of the shingles: two texts at 0.8 miss each other in all 24 bands of four once in 300,000 times. In these a
+text meets all others that the trees haven't put into its group, those of the closest fingerprints first. A link of either
+kind counts if the signatures of 512 min-wise hashes agree in the required share, less ``SLACK``. These links only nominate
+groups: in each of them, links are then made anew between texts whose whole sets of shingles are similar enough.
+Below ``radius`` = 64 fingerprints would also limit the search in bands (a shard then uses a tree where it is small), which
+loses some pairs.
 
 Equal texts are one node before anything else. A shard returns a star of links for each of its groups, never pairs, and
 compares a node only with groups it isn't in yet, so a large group of near copies costs little more than its size.
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import in_slices, stored, text_of
 from .components import _dealt_anew, connected_components
 from .places import Shelf, in_files, place_of, shelve, without
-from .simhash import BITS, SEED, BKTree, _signed
+from .simhash import BITS, SEED, BKTree, _signed, near_links
 
 SIGNATURE, BANDS, ROWS = 512, 24, 4
 #: By which the limit is lowered where an estimate nominates: four and a half standard errors at 0.8.
@@ -39,6 +41,8 @@ SLACK = 0.08
 #: Nodes and characters of a nominated group that one task verifies at once.
 VERIFY_NODES, VERIFY_CHARS = 512, 1 << 24
 STEP = 4096
+#: Bits within which the trees link fingerprints: those of :func:`~framelens.llm.simhash.near_duplicate_components`.
+TREE_RADIUS = 2
 _random = np.random.default_rng(20240229)
 _FACTOR = (_random.integers(0, 1 << 31, SIGNATURE, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
 _SHIFT = _random.integers(0, 1 << 32, SIGNATURE, dtype=np.uint32)
@@ -78,10 +82,14 @@ def sketch(text: str, shingle: int) -> tuple[int, bytes | None, list[int]]:
     return _signed(fp), least.astype(np.uint8).tobytes(), keys
 
 
-def shard_groups(nodes: list[int], prints: np.ndarray, signatures: np.ndarray, radius: int, similarity: float) -> list[tuple[int, int]]:
-    """(node, smallest node of its group) for all but those smallest; ``nodes`` rise."""
+def shard_groups(nodes: list[int], prints: np.ndarray, signatures: np.ndarray, radius: int, similarity: float, known: list[int] | None = None) -> list[tuple[int, int]]:
+    """(node, smallest node of its group) for all but those smallest; ``nodes`` rise. Nodes that share a value of
+    ``known`` are of one group from the first."""
     n = len(nodes)
     group = np.arange(n)
+    if known is not None:
+        first: dict[int, int] = {}
+        group = np.array([first.setdefault(k, i) for i, k in enumerate(known)], np.int64)
     tree, places = (BKTree(), {}) if n <= TREE_NODES and radius < BITS else (None, {})
     for i in range(n):
         if tree is not None:
@@ -101,7 +109,7 @@ def shard_groups(nodes: list[int], prints: np.ndarray, signatures: np.ndarray, r
             if not len(close):
                 break
             low, high = sorted((group[close[0]], group[i]))
-            group[: i + 1][group[: i + 1] == high] = low
+            group[group == high] = low
             met = met[at:]
     return [(nodes[i], nodes[group[i]]) for i in range(n) if group[i] != i]
 
@@ -185,6 +193,28 @@ def _verified(nominated: DataFrame, nodes: DataFrame, docs: DataFrame, text_col:
     return links.union(linked(rooted.join(mixed, "key"), _blocks(own(F.lit(0)), F.col("parts")))).distinct()
 
 
+def tree_links(nodes: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between nodes whose fingerprints BK-trees find within ``TREE_RADIUS`` bits, over several if need be.
+
+    ``nodes`` has text_hash, fp and sig. Each is linked to the smallest of its group, if their signatures agree enough:
+    fingerprints may be close by chance, and chains of such would make groups of texts that share nothing.
+    """
+    worded = nodes.where("sig IS NOT NULL").select("text_hash", "fp")
+    roots = connected_components(near_links(worded.select("fp").distinct(), TREE_RADIUS))
+    placed = worded.join(roots, F.col("fp") == F.col("node"), "left").select("text_hash", F.coalesce("root", "fp").alias("print"))
+    least = placed.groupBy("print").agg(F.min("text_hash").alias("a"), F.count("*").alias("n")).where("n > 1")
+    pairs = placed.join(least.select(_dealt_anew("print"), "a"), "print").where("text_hash <> a").select("a", F.col("text_hash").alias("b"))
+    signed = lambda side: nodes.select(F.col("text_hash").alias(side), F.col("sig").alias(f"sig_{side}"))
+    both = pairs.join(signed("b"), "b").join(signed("a"), "a").select("a", "b", "sig_a", "sig_b")
+
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            share = (_signatures(batch.column(2).to_pylist()) == _signatures(batch.column(3).to_pylist())).mean(axis=1)
+            yield batch.select(["a", "b"]).filter(pa.array(share >= similarity))
+
+    return both.mapInArrow(agree, LINKS)
+
+
 def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float, radius: int, shard_limit: int) -> DataFrame:
     """id, text_hash, place and root of each row of a table in files."""
     file, row = place_of(docs)
@@ -201,6 +231,8 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, similari
     # Copies of a text combine before the shuffle; any of them stands for it.
     node = F.first(F.struct("n_chars", "file", "row", "fp", "sig", "bands")).alias("x")
     nodes = stored(rows.groupBy("text_hash").agg(node).select("text_hash", "x.*"), "nodes")
+    trees = stored(tree_links(nodes, similarity - SLACK), "tree-links")
+    known = connected_components(trees)
     banded = nodes.select("text_hash", F.explode("bands").alias("key"))
     sizes = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     parts = F.when(F.col("n") > shard_limit, F.ceil(F.col("n") / max(1, shard_limit // 2))).otherwise(1).cast("long")
@@ -209,13 +241,14 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, similari
 
     def close(group: list[tuple]) -> list[tuple[int, int]]:
         prints = np.array([g[1] for g in group], np.int64).view(np.uint64)
-        return shard_groups([g[0] for g in group], prints, _signatures([g[2] for g in group]), radius, similarity - SLACK)
+        return shard_groups([g[0] for g in group], prints, _signatures([g[2] for g in group]), radius, similarity - SLACK, [g[3] for g in group])
 
     def linked(placed: DataFrame) -> DataFrame:
-        dealt = placed.select("text_hash", "key", "part").join(nodes.select("text_hash", "fp", "sig"), "text_hash").select("key", "part", "text_hash", "fp", "sig")
+        grouped = _rooted(placed.select("text_hash", "key", "part"), known)
+        dealt = grouped.join(nodes.select("text_hash", "fp", "sig"), "text_hash").select("key", "part", "text_hash", "fp", "sig", "root")
         return dealt.repartition("key", "part").sortWithinPartitions("key", "part", "text_hash").mapInArrow(lambda batches: _in_runs(batches, close), LINKS).distinct()
 
-    links = stored(linked(met), "links")
+    links = stored(linked(met).union(trees).distinct(), "links")
     large = met.where("parts > 1")
     if not large.isEmpty():
         rooted = _rooted(large, connected_components(links))

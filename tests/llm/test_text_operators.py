@@ -339,6 +339,47 @@ def test_groups_of_a_shard(n):
     assert [links.get(i, i) for i in range(n)] == label
 
 
+def test_groups_of_a_shard_that_trees_know():
+    """Known groups are kept, and the others are completed to those of all pairs and known ones."""
+    rng = random.Random(5)
+    n = 80
+    texts = [" ".join(f"g{i % 7}w{k if rng.random() > 0.01 else rng.random()}" for k in range(80)) for i in range(n)]
+    sketches = [sketch(t, 5) for t in texts]
+    prints = np.array([s[0] for s in sketches], np.int64).view(np.uint64)
+    signatures = np.frombuffer(b"".join(s[1] for s in sketches), np.uint8).reshape(n, -1)
+    known = [1000 + i % 7 if i > 40 and i % 7 < 3 else i for i in range(n)]
+    known[3] = known[79] = 5000
+    links = dict(shard_groups(list(range(n)), prints, signatures, 64, 0.72, known))
+    label = list(range(n))
+    for i in range(n):
+        for j in range(i):
+            if known[i] == known[j] or (signatures[j] == signatures[i]).mean() >= 0.72:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    assert [links.get(i, i) for i in range(n)] == label and label[79] == label[3]
+
+
+def test_trees_link_close_fingerprints(spark):
+    """Within two bits, also over a third and across blocks; not where the texts share nothing or have no words."""
+    sig = lambda seed: np.random.default_rng(seed).integers(0, 256, near.SIGNATURE, dtype=np.uint8).tobytes()
+    base = 0x0123456789ABCDEF
+    prints = {11: (base, 1), 12: (base ^ 1, 1), 13: (base ^ 1 ^ (1 << 20) ^ (1 << 50), 1), 14: (base, 1), 15: (base ^ (1 << 40), 2), 16: (base ^ 0xFF0000, 1), 17: (0, None), 18: (0, None), 19: (base - (1 << 62), 3)}
+    rows = [(k, fp, None if seed is None else bytearray(sig(seed))) for k, (fp, seed) in prints.items()]
+    found = near.tree_links(spark.createDataFrame(rows, "text_hash long, fp long, sig binary"), 0.72).collect()
+    assert sorted((r.a, r.b) for r in found) == [(11, 12), (11, 13), (11, 14)]
+
+
+def test_near_copies_come_from_trees_and_bands(spark, monkeypatch):
+    """The trees are asked for links of all fingerprints, before the bands complete their groups."""
+    words = [f"m{i}" for i in range(300)]
+    rows = [(0, " ".join(words)), (1, " ".join([*words[:-1], "else"])), (2, " ".join(f"s{i}" for i in range(300)))]
+    asked = []
+    real = near.near_links
+    monkeypatch.setattr(near, "near_links", lambda prints, radius: asked.append(radius) or real(prints, radius))
+    found = {r.doc_id: r.root for r in near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert asked == [near.TREE_RADIUS] and found[0] == found[1] != found[2]
+
+
 def test_pairs_of_an_oversized_shard_meet(spark):
     """Texts whose bands are all those of one template; each has one near copy, which no shard may hold with all others."""
     rng = random.Random(3)
